@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_brown_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .brown import score_documents
 
