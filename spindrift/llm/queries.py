@@ -17,6 +17,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_brown_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .brown import score_documents
 

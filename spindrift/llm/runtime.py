@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
-#: Rows in an Arrow batch: long texts must not pile up in one Python worker.
-ARROW_ROWS = "256"
+#: Bytes in an Arrow batch: long texts must not pile up in one Python worker.
+ARROW_BYTES = "4194304"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -27,7 +27,7 @@ def prepare(spark: SparkSession) -> SparkSession:
                 z.write(p, p.relative_to(PACKAGE.parent))
         sc.addPyFile(name)
         sc._spindrift_shipped = sc.applicationId
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
