@@ -17,6 +17,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 

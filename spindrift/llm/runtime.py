@@ -1,14 +1,17 @@
-"""Session helpers: shipping the package to executors, the shared folder, reliable cuts of lineage."""
+"""Session helpers: the package on every executor, bounded Arrow batches."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from spindrift.storage import materialise, shared_dir
+
+__all__ = ["materialise", "prepare", "shared_dir", "shuffle_width"]
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -31,23 +34,5 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spindrift-shared-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/spindrift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
