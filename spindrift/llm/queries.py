@@ -23,6 +23,35 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(_table(spark, sf_dir, "documents")).drop("host", "frequent")
+
+
+_OP3 = r"""
+WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^ 	-]+') AS w FROM d),
+win AS (SELECT doc_id, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(5) t(k) GROUP BY doc_id),
+raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+ln AS (SELECT doc_id, host, text, line, lower(trim(regexp_replace(line, '[ 	-]+', ' ', 'g'))) AS norm FROM raw WHERE regexp_matches(line, '[^ 	-]')),
+hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
+freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS c FROM ln GROUP BY host, norm) JOIN hosts USING (host) WHERE c > 20 AND c > CAST(0.1 AS DOUBLE) * texts),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id),
+gone AS (SELECT doc_id, CAST(sum(len(string_split(norm, ' '))) AS BIGINT) AS n FROM ln JOIN freq USING (host, norm) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(d.text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+    coalesce(rep.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS n_line_words
+  FROM d JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - n_line_words >= 10 AS kept
+FROM m
+"""
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 
@@ -40,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_frequency": _OP3}
