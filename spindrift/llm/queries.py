@@ -31,12 +31,15 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP3 = r"""
 WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(text, '[^ 	-]+') AS w FROM d),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^ 	-
+]+') AS w FROM d),
 win AS (SELECT doc_id, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(5) t(k) GROUP BY doc_id),
 raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
-ln AS (SELECT doc_id, host, text, line, lower(trim(regexp_replace(line, '[ 	-]+', ' ', 'g'))) AS norm FROM raw WHERE regexp_matches(line, '[^ 	-]')),
+ln AS (SELECT doc_id, host, text, line, lower(trim(regexp_replace(line, '[ 	-
+]+', ' ', 'g'))) AS norm FROM raw WHERE regexp_matches(line, '[^ 	-
+]')),
 hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
 freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS c FROM ln GROUP BY host, norm) JOIN hosts USING (host) WHERE c > 20 AND c > CAST(0.1 AS DOUBLE) * texts),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id),
@@ -52,6 +55,14 @@ FROM m
 """
 
 
+def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import encode_digests
+
+    return encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 
