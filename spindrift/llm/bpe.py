@@ -36,7 +36,7 @@ from . import words as W
 from .runtime import prepare
 
 #: Entries of the tables of chunks and of words that a worker keeps, and of resolved arcs.
-CHUNKS, WORDS, ARCS = 150_000, 100_000, 500_000
+CHUNKS, WORDS, ARCS = 120_000, 300_000, 400_000
 _END = "\x00"
 
 
@@ -147,24 +147,28 @@ class Encoder:
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.letters = byte_letters()
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
         encoder = self
 
         class Chunks(dict):
             def __missing__(self, chunk):
-                ids = encoder._ids(chunk)
-                found = (b"".join([i.to_bytes(4, "little") for i in ids]), " ".join([encoder.labels[i] for i in ids]))
-                if len(self) < CHUNKS:
+                parts = encoder._parts(chunk)
+                found = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+                if len(self) < CHUNKS and len(chunk) < 64:
                     self[chunk] = found
                 return found
 
         self.chunks = Chunks()
 
-    def _ids(self, chunk: str) -> list[int]:
-        out: list[int] = []
+    def _emitted(self, ids: list[int]) -> tuple[bytes, str]:
+        return b"".join([i.to_bytes(4, "little") for i in ids]), " ".join([self.labels[i] for i in ids])
+
+    def _parts(self, chunk: str) -> list[tuple[bytes, str]]:
+        """Ids and labels of each word of a chunk."""
+        out = []
         for part in self.marks.split(chunk) if "<|" in chunk else (chunk,):
             if part in self.special:
-                out.append(self.special[part])
+                out.append(self._emitted([self.special[part]]))
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part)
@@ -172,13 +176,13 @@ class Encoder:
             else:
                 part = part.lower()
             for piece in self.pieces.findall(part):
-                ids = self.words.get(piece)
-                if ids is None:
+                found = self.words.get(piece)
+                if found is None:
                     letters = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
-                    ids = self.automaton.encode(letters)
+                    found = self._emitted(self.automaton.encode(letters))
                     if len(self.words) < WORDS and len(piece) < 64:
-                        self.words[piece] = ids
-                out += ids
+                        self.words[piece] = found
+                out.append(found)
         return out
 
     def encode(self, text: str) -> tuple[bytes, str]:
