@@ -63,6 +63,14 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .wavelet import token_files
+
+    return token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 

@@ -97,11 +97,16 @@ def split(data: np.ndarray, offsets: np.ndarray, accepted: np.ndarray = SPACED,
     after[:-1] = inside[1:]
     after &= ~cut[1:]
     end = np.flatnonzero(inside & ~after) + 1
+    return Words(start, end, span_hashes(data, start, end, lower), np.searchsorted(start, offsets))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each data[start:end]."""
+    n = len(data)
     codes = _CODES[_lowered()] if lower else _CODES
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(codes[data] * _power("up", n), out=sums[1:])
-    h = mix((sums[end] - sums[start]) * _power("down", n)[start])
-    return Words(start, end, h, np.searchsorted(start, offsets))
+    return mix((sums[end] - sums[start]) * _power("down", n)[start])
 
 
 def hash_of(word: str, lower: bool = False) -> int:
