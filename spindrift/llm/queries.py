@@ -55,6 +55,12 @@ FROM m
 """
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
