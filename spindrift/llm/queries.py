@@ -69,6 +69,12 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
