@@ -28,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrift.operators.components import components
@@ -247,3 +247,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = signed.where("NOT some").select("doc_id", F.col("doc_id").alias("text_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     null = lambda c: F.nullif(F.col(c), F.lit(LEAST_ID)).alias(c)
     return rows.union(alone).select(null("doc_id"), null("text_class"), null("class_id"), "n_links")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the least id of each near-duplicate group; of rows that repeat an id, the one with the least text."""
+    found = near_duplicates(docs, id_col, text_col)
+    key = lambda c: F.coalesce(c, F.lit(LEAST_ID))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("doc_id")).alias("_id")).distinct()
+    rows = docs.withColumn("_id", key(F.col(id_col).cast("long"))).join(kept, "_id")
+    first = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col))))
+    return first.where("_nth = 1").select(docs.columns)

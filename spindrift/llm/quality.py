@@ -13,7 +13,7 @@ line that every document has meets in one task.
 
 Defined results: null text has no words and fails; documents without a host form
 one host; null ids are kept; repeated rows are judged alike, each for itself.
-Other columns pass through with_kept_text and are never read.
+Other columns are ignored by judge() and passed on by keep_good().
 """
 
 from __future__ import annotations
@@ -108,6 +108,20 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
     line_words = F.coalesce("n_line_words", F.lit(0).cast("long"))
     return measures.drop("lines").join(removed, "row", "left").select(
-        "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", line_words.alias("n_line_words"),
+        "doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", line_words.alias("n_line_words"),
         failed.alias("base_failed"), (~failed & (F.col("n_words") - line_words >= MIN_WORDS)).alias("kept"), "frequent",
     )
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
+    """The rows of docs that are kept, without their frequent lines; chars_col, if given, has the text's new length."""
+    verdicts = judge(docs, id_col, text_col, host_col).where("kept")
+    # a verdict depends on host and text alone, so rows that repeat have one
+    verdicts = verdicts.select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), F.col("frequent").alias("_frequent")).dropDuplicates(["_id", "_host", "_hash"])
+    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.coalesce(docs[host_col].cast("string"), F.lit("")) == F.col("_host")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("_hash"))
+    lines = F.filter(F.split(text_col, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_frequent", F.xxhash64(normalised(x)))))
+    text = F.when(F.col("_frequent").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    out = docs.join(verdicts, same).withColumn(text_col, text)
+    if chars_col:
+        out = out.withColumn(chars_col, F.when(F.col("_frequent").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
+    return out.select(docs.columns)

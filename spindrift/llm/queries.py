@@ -23,10 +23,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
-    return judge(_table(spark, sf_dir, "documents")).drop("host", "frequent")
+    return judge(_table(spark, sf_dir, "documents")).drop("host", "text_hash", "frequent")
 
 
 _OP3 = r"""

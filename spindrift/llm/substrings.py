@@ -204,7 +204,7 @@ def _first_of_two(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_PACKED = "doc_id long, packed binary, own array<struct<start: int, n: int, ref_doc: long, ref_start: int>>"
+_PACKED = "doc_id long, packed binary, own array<struct<start: int, n: int, ref_doc: long, ref_start: int>>, extra {extra}"
 _FACTOR = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
 
 
@@ -225,7 +225,7 @@ def _packed(batches):
         own = pa.StructArray.from_arrays([pa.array(s[r].astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(rd[r].astype(np.int64)), pa.array(rs[r].astype(np.int32))], fields=list(_FACTOR))
         view = memoryview(np.ascontiguousarray(data))
         packed = [squeeze.compress(view[offsets[i] : offsets[i + 1]]) for i in range(docs)]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(packed, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), own)], ["doc_id", "packed", "own"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(packed, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), own), rows.column("extra")], ["doc_id", "packed", "own", "extra"])
 
 
 def factors_of(runs: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -239,7 +239,7 @@ def factors_of(runs: list[tuple[int, int, int, int]]) -> list[tuple[int, int, in
     return [(s, n + WINDOW - 1, d, r) for s, n, d, r in out]
 
 
-_CUT = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string, kept_text string, factors array<struct<start: int, n: int, ref_doc: long, ref_start: int>>"
+_CUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, factors array<struct<start: int, n: int, ref_doc: long, ref_start: int>>, extra {extra}"
 
 
 def _cut(with_text: bool):
@@ -266,8 +266,8 @@ def _cut(with_text: bool):
             ids, n, removed, sha, texts, factors = zip(*out, strict=True) if out else ([],) * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array([x and x.decode() if x is not None else None for x in texts], pa.string()),
-                 pa.array([[dict(zip(("start", "n", "ref_doc", "ref_start"), f, strict=True)) for f in fs] for fs in factors], pa.list_(_FACTOR))],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "factors"],
+                 pa.array([[dict(zip(("start", "n", "ref_doc", "ref_start"), f, strict=True)) for f in fs] for fs in factors], pa.list_(_FACTOR)), batch.column("extra")],
+                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "factors", "extra"],
             )
 
     return cut
@@ -295,13 +295,31 @@ def frequent_anchors(docs: DataFrame):
     return docs.sparkSession.sparkContext.broadcast(np.sort(rows["anchor"].to_numpy(np.int64).view(np.uint64)))
 
 
+def _found(docs: DataFrame, with_text: bool) -> DataFrame:
+    """Results for docs (doc_id, text, extra)."""
+    rows = docs.select("doc_id", "text")
+    extra = docs.schema["extra"].dataType.simpleString()
+    shared = frequent_anchors(rows)
+    met = rows.mapInArrow(_anchor_rows(shared), _ANCHOR_ROWS).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
+    repeats = met.mapInArrow(_repeats, _FACTORS).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
+    found = docs.mapInArrow(_packed, _PACKED.format(extra=extra)).join(repeats, "doc_id", "left")
+    return found.mapInArrow(_cut(with_text), _CUT.format(extra=extra)).withColumn("doc_id", F.nullif("doc_id", F.lit(_LEAST_ID)))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text (null unless with_text) and factors of each row."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = frequent_anchors(docs)
-    met = docs.mapInArrow(_anchor_rows(shared), _ANCHOR_ROWS).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    repeats = met.mapInArrow(_repeats, _FACTORS).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
-    found = docs.mapInArrow(_packed, _PACKED).join(repeats, "doc_id", "left")
-    out = found.mapInArrow(_cut(with_text), ", ".join(x for x in _CUT.split(", ") if x != "text string"))
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_LEAST_ID)))
+    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).alias("extra"))
+    return _found(docs, with_text).drop("extra")
+
+
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """docs without their repeated passages; chars_col, if given, has the text's new length."""
+    prepare(docs.sparkSession)
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("extra"))
+    found = _found(rows, True)
+    back = {c: F.col(f"extra.c{i}") for i, c in enumerate(others)}
+    if chars_col:
+        back[chars_col] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(back[chars_col]).cast(docs.schema[chars_col].dataType)
+    return found.select(*((F.col("kept_text") if c == text_col else back[c]).alias(c) for c in docs.columns))

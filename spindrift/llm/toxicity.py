@@ -277,13 +277,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, label_col: str = "toxic")
     return train([r["text"] for r in rows], y) if len(set(y.tolist())) == 2 else None
 
 
+def _held(modulus: int, remainder: int):
+    return lambda doc_id: F.coalesce(remainder_of(doc_id, modulus) == remainder, F.lit(False))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 4, remainder: int = 2) -> DataFrame:
     """doc_id, held_out, score, predicted of each row; learnt from labels (doc_id, toxic) of ids whose checksum modulo `modulus` is not `remainder`."""
     spark = prepare(docs.sparkSession)
-
-    def held(doc_id):
-        return F.coalesce(remainder_of(doc_id, modulus) == remainder, F.lit(False))
-
+    held = _held(modulus, remainder)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     net = spark.sparkContext.broadcast(fit(docs, labels, held))
 
@@ -294,3 +295,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     scored = docs.mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
+def remove_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT, modulus: int = 4, remainder: int = 2) -> DataFrame:
+    """The rows of docs (doc_id, text and any others) that score below `cut`."""
+    spark = prepare(docs.sparkSession)
+    net = spark.sparkContext.broadcast(fit(docs.select("doc_id", "text"), labels, _held(modulus, remainder)))
+
+    def clean(batches):
+        for rows, data, offsets in W.chunks(batches, limit=1_000_000):
+            yield rows.filter(pa.array(net.value.score(data, offsets) < cut)) if net.value else rows
+
+    return docs.mapInArrow(clean, docs.schema)
