@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -77,15 +77,15 @@ def read_keyed_lines(spark: SparkSession, path: str, value_schema: str) -> DataF
     return keyed_lines(lines, value_schema)
 
 
-def to_keyed_lines(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """One JSON object {key: value} a line, in column `value`."""
-    return rows.select(F.to_json(F.create_map(F.col(key), F.col(value))).alias("value"))
+def keyed_line(key: str, value: str) -> Column:
+    """JSON object {key: value}."""
+    return F.to_json(F.create_map(F.col(key), F.col(value)))
 
 
 def object_to_lines(rows: DataFrame, json_col: str) -> DataFrame:
-    """The keys of top-level JSON objects, one {key: value} a line."""
-    variant = F.from_json(json_col, "map<string, variant>")
-    return rows.select(F.explode(variant).alias("k", "v")).select(F.concat(F.lit("{"), F.to_json(F.create_map("k", F.lit(0))).substr(F.lit(2), F.length(F.to_json(F.create_map("k", F.lit(0)))) - 3), F.to_json("v"), F.lit("}")).alias("value"))
+    """The keys of top-level JSON objects, one {key: value} a line, in column `value`; other JSON gives nothing."""
+    whole = F.from_json(json_col, "map<string, variant>")
+    return rows.select(F.explode(whole).alias("k", "v")).select(F.to_json(F.create_map("k", "v")).alias("value"))
 
 
 def split_concatenated(rows: DataFrame, text_col: str) -> DataFrame:
