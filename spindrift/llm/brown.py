@@ -81,6 +81,7 @@ class Model:
     symbols: np.ndarray
     total: int
     distinct: int
+    least: int  # count from which a word is shared
     klass: np.ndarray | None = None  # of each symbol
     transition: np.ndarray | None = None  # log10 P(class | class)
     emission: np.ndarray | None = None  # log10 P(word | class) of each shared word
@@ -127,10 +128,10 @@ def shared_table(counts: DataFrame) -> Model:
         if (room := room - r["words"]) < 0:
             break
         least = r["least"]
-    # words seen once always belong to the rest, so that its mass covers unseen words too
-    rows = counts.where(F.col("n") >= max(2, least)).toPandas() if least is not None else None
-    h = rows["h"].to_numpy(np.int64).view(np.uint64) if rows is not None else np.zeros(0, np.uint64)
-    n = rows["n"].to_numpy(np.int64) if rows is not None else np.zeros(0, np.int64)
+    # words seen once always belong to the rest, so that its mass covers unseen words too; the end is always shared
+    least = max(2, least) if least is not None else 1 << 62
+    rows = counts.where((F.col("n") >= least) | (F.col("h") == int(END.astype(np.int64)))).toPandas()
+    h, n = rows["h"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
     order = np.argsort(h)
     h, n = h[order], n[order]
     symbols = np.zeros(len(h), np.int64)
@@ -142,7 +143,7 @@ def shared_table(counts: DataFrame) -> Model:
     power = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
     kinds = np.unique(power[~is_clustered])
     symbols[~is_clustered] = len(frequent) + np.searchsorted(kinds, power[~is_clustered])
-    return Model(h, n, symbols, int(total), int(distinct), n_symbols=len(frequent) + len(kinds) + 2)
+    return Model(h, n, symbols, int(total), int(distinct), least, n_symbols=len(frequent) + len(kinds) + 2)
 
 
 def bigrams(docs: DataFrame, shared) -> DataFrame:
@@ -293,7 +294,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = fit(train, counts)
     shared = spark.sparkContext.broadcast(model)
     scored = materialise(docs.mapInArrow(_score(shared), _SCORED))
-    tail = counts.where(F.col("n") < (int(model.counts.min()) if len(model.counts) else 1 << 62))
+    tail = counts.where(F.col("n") < model.least)
     # a word's copies inside a document go as one row
     wanted = scored.where(F.size("rest") > 0).select("row", F.explode("rest").alias("h")).groupBy("row", "h").agg(F.count("*").alias("times"))
     found = wanted.join(tail, "h").groupBy("row").agg(
