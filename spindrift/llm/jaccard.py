@@ -253,7 +253,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The row with the least id of each near-duplicate group; of rows that repeat an id, the one with the least text."""
     found = near_duplicates(docs, id_col, text_col)
     key = lambda c: F.coalesce(c, F.lit(LEAST_ID))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("doc_id")).alias("_id")).distinct()
-    rows = docs.withColumn("_id", key(F.col(id_col).cast("long"))).join(kept, "_id")
-    first = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col))))
-    return first.where("_nth = 1").select(docs.columns)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("doc_id")).alias("__near_id")).distinct()
+    rows = docs.withColumn("__near_id", key(F.col(id_col).cast("long"))).join(kept, "__near_id")
+    first = rows.withColumn("__near_nth", F.row_number().over(Window.partitionBy("__near_id").orderBy(F.xxhash64(text_col))))
+    return first.where("__near_nth = 1").select(docs.columns)

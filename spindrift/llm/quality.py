@@ -117,11 +117,11 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     """The rows of docs that are kept, without their frequent lines; chars_col, if given, has the text's new length."""
     verdicts = judge(docs, id_col, text_col, host_col).where("kept")
     # a verdict depends on host and text alone, so rows that repeat have one
-    verdicts = verdicts.select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), F.col("frequent").alias("_frequent")).dropDuplicates(["_id", "_host", "_hash"])
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.coalesce(docs[host_col].cast("string"), F.lit("")) == F.col("_host")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("_hash"))
-    lines = F.filter(F.split(text_col, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_frequent", F.xxhash64(normalised(x)))))
-    text = F.when(F.col("_frequent").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    verdicts = verdicts.select(F.col("doc_id").alias("__quality_id"), F.col("host").alias("__quality_host"), F.col("text_hash").alias("__quality_hash"), F.col("frequent").alias("__quality_frequent")).dropDuplicates(["__quality_id", "__quality_host", "__quality_hash"])
+    same = docs[id_col].eqNullSafe(F.col("__quality_id")) & (F.coalesce(docs[host_col].cast("string"), F.lit("")) == F.col("__quality_host")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("__quality_hash"))
+    lines = F.filter(F.split(text_col, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("__quality_frequent", F.xxhash64(normalised(x)))))
+    text = F.when(F.col("__quality_frequent").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
     out = docs.join(verdicts, same).withColumn(text_col, text)
     if chars_col:
-        out = out.withColumn(chars_col, F.when(F.col("_frequent").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
+        out = out.withColumn(chars_col, F.when(F.col("__quality_frequent").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
     return out.select(docs.columns)
