@@ -24,7 +24,6 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -63,9 +62,11 @@ class Automaton:
         self.copied: dict[int, tuple[int, int]] = {}  # c -> (b, merge)
         self.entered: dict[int, tuple[int, int]] = {}  # c -> (a, merge)
         born: dict[int, int] = {}
+        used: set[int] = set()
         for at, (left, right) in enumerate(merges):
             a, b, c = vocab[left], vocab[right], vocab[left + right]
-            if c in born or (a << 32 | b) in self.removed or born.get(a, -1) >= at or born.get(b, -1) >= at:
+            used |= {a, b}
+            if c in born or c in used:
                 raise ValueError(f"merge {at} doesn't follow the merges it needs")
             self.removed[a << 32 | b] = at
             self.copied[c], self.entered[c] = (b, at), (a, at)
@@ -197,15 +198,14 @@ class Encoder:
         return " ".join([self.labels[i] for i in ids])
 
 
-@lru_cache(1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return W.keep(f"encoder {path}", lambda: Encoder(path))
 
 
 def _encode(path: str):
     def encode(batches):
         e = encoder(path)
-        for rows, data, offsets in W.chunks(batches):
+        for rows, data, offsets in W.chunks(batches, keeps=True):
             raw = data.tobytes()
             out = []
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
@@ -231,7 +231,7 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 def _ids(path: str):
     def ids(batches):
         e = encoder(path)
-        for rows, data, offsets in W.chunks(batches):
+        for rows, data, offsets in W.chunks(batches, keeps=True):
             raw = data.tobytes()
             found = [e.encode(raw[a:b].decode("utf-8", "replace"))[0] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([[int.from_bytes(x[k : k + 4], "little") for k in range(0, len(x), 4)] for x in found], pa.list_(pa.int32()))], ["doc_id", "ids"])

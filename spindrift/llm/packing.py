@@ -114,7 +114,7 @@ _PACKED = "doc_id long, piece int, start long, n_tokens long, bin_id string, pla
 def _pieces(path: str, largest: int):
     def pieces(batches):
         by, salt = tokens_by(path), TaskContext.get().partitionId() << 40
-        for rows, data, offsets in W.chunks(batches):
+        for rows, data, offsets in W.chunks(batches, keeps=True):
             n = by.encode(data, offsets)[1] + 1  # with the end token
             parts = -(-n // largest)
             piece = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)

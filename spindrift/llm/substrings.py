@@ -41,7 +41,7 @@ GRAM = 6
 #: One document of so many tells which anchors are frequent; so many of its rows make one; so many are shared at most.
 SAMPLE, FREQUENT, MOST_FREQUENT = 32, 24, 16_384
 #: Windows that a task of the second step holds at once.
-HELD = 1_500_000
+HELD = 800_000
 _LEAST_ID = -(1 << 63)
 
 
@@ -88,7 +88,7 @@ def _anchor_rows(shared):
 
     def rows_of(batches):
         frequent = shared.value if shared is not None else np.zeros(0, np.uint64)
-        for rows, data, offsets in W.chunks(batches, limit=2 * W.CHUNK_BYTES):
+        for rows, data, offsets in W.chunks(batches):
             ids, doc, start, h, anchors = _windows(rows, data, offsets)
             if not len(h):
                 continue
@@ -151,6 +151,7 @@ def _repeats(batches):
             held, size = [], 0
     if held:
         yield from _repeats_of(held, seen)
+    W.free()
 
 
 def _repeats_of(held, seen: _Seen):
@@ -211,7 +212,7 @@ _FACTOR = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.in
 def _packed(batches):
     """Compressed texts, with the repeats inside their block."""
     squeeze = zstandard.ZstdCompressor(level=1)
-    for rows, data, offsets in W.chunks(batches, limit=2 * W.CHUNK_BYTES):
+    for rows, data, offsets in W.chunks(batches):
         ids, doc, start, h, _ = _windows(rows, data, offsets)
         docs = len(ids)
         first = _first_of(h) if len(h) else np.zeros(0, np.int64)

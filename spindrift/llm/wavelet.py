@@ -17,7 +17,6 @@ import struct
 import uuid
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -317,9 +316,8 @@ class Tokens:
         return out, counts
 
 
-@lru_cache(1)
 def tokens_by(path: str) -> Tokens:
-    return Tokens(path)
+    return W.keep(f"tokens {path}", lambda: Tokens(path))
 
 
 _STORED = "part int, seq int, n_tokens long, content binary"
@@ -335,7 +333,7 @@ def _stored(path: str, end_id: int, shard_tokens: int):
             content = build(a, np.concatenate(ids), np.concatenate(lengths))
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(a)]), pa.array([content], pa.binary())], ["part", "seq", "n_tokens", "content"])
 
-        for rows, data, offsets in W.chunks(batches):
+        for rows, data, offsets in W.chunks(batches, keeps=True):
             a, counts = by.encode(data, offsets)
             ends = np.cumsum(counts + 1)
             full = np.empty(len(a) + len(counts), np.uint16)

@@ -8,7 +8,8 @@ from one prefix sum over the buffer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,7 +51,7 @@ def _power(kind: str, n: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             np.multiply.accumulate(out, out=out)
         have = out
-        if size <= 4 * CHUNK_BYTES:  # the powers for a giant document are not kept
+        if size <= 2 * CHUNK_BYTES:  # the powers for a giant document are not kept
             _powers[kind] = have
     return have[:n]
 
@@ -164,8 +165,38 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) of at most limit bytes of text, or of one document."""
+#: The one large table that a worker keeps between tasks, by name.
+_kept: dict[str, object] = {}
+
+
+def keep(name: str, make: Callable[[], object]):
+    """The worker's large table of that name; another one that it has is dropped."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def free() -> None:
+    """Hands memory that is no longer used back to the system: workers outlive their tasks and share an executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES, keeps: bool = False) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) of at most limit bytes of text, or of one document. Without keeps, the task has no use for a large table."""
+    if not keeps:
+        _kept.clear()
+    try:
+        yield from _chunks(batches, text, limit)
+    finally:
+        free()
+
+
+def _chunks(batches, text, limit):
     for batch in batches:
         if not batch.num_rows:
             continue
