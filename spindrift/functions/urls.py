@@ -122,14 +122,19 @@ def source_pages(sources: Column, name: Column, links: Column) -> Column:
         (has("toolshed", "galaxy_metadata"), "toolshed", F.lit("https://toolshed.g2.bx.psu.edu/repository")),
         (has("galaxy"), "galaxy", F.lit("https://usegalaxy.eu/")),
     ]
-    last = lambda f: F.element_at(F.filter(F.transform(links, f), lambda x: x.isNotNull()), -1)
+    last = lambda f: F.element_at(F.filter(F.transform(links, lambda x: f(x)), lambda x: x.isNotNull()), -1)
+    found = lambda f: F.when(F.exists(links, lambda x: f(x).isNotNull()), last(f))
     alias = F.concat(F.lit("https://anaconda.org/bioconda/bioconductor-"), name)
-    shown = [
-        ("bioconda", F.when(F.exists(links, lambda x: x.contains(F.concat(F.lit("bioconductor-"), name))), alias)),
-        *((k, F.when(F.exists(links, lambda x, f=f: f(x).isNotNull()), last(f))) for k, f in (("github", github_link), ("bioconductor", bioconductor_link), ("bitbucket", bitbucket_link), ("galaxy", galaxy_link), ("toolshed", toolshed_link))),
-    ]
+    by_link = {
+        "bioconda": F.when(F.exists(links, lambda x: x.contains(F.concat(F.lit("bioconductor-"), name))), alias),
+        "github": found(github_link),
+        "bioconductor": found(bioconductor_link),
+        "bitbucket": found(bitbucket_link),
+        "galaxy": found(galaxy_link),
+        "toolshed": found(toolshed_link),
+    }
     keys = ["biotools", "bioconda", "bioconductor", "sourceforge", "toolshed", "galaxy", "github", "bitbucket"]
-    by_rule, by_link = {k: F.when(c, v) for c, k, v in rules}, dict(shown)
+    by_rule = {k: F.when(c, v) for c, k, v in rules}
     pages = F.array(
         *(
             F.struct(F.lit(k).alias("key"), F.coalesce(by_link.get(k, F.lit(None)), by_rule.get(k, F.lit(None)), F.when(F.array_contains(sources, k), F.lit(""))).cast("string").alias("value"))
