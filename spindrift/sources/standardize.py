@@ -312,12 +312,12 @@ def with_vocabulary(rows: DataFrame, column: str, vocabulary: DataFrame, id_col:
     """
     by_uri = vocabulary.groupBy("uri").agg(F.min_by("label", "ord").alias("_label"))
     by_label = vocabulary.groupBy(F.lower("label").alias("_low")).agg(F.min_by(F.struct("uri", "label"), "ord").alias("_hit"))
-    x = rows.select(F.col(id_col).alias("_id"), F.posexplode(column).alias("_p", "x"))
+    x = rows.select(F.col(id_col).alias("__voc_id"), F.posexplode(column).alias("_p", "x"))
     x = x.join(by_uri, F.col("x.uri") == by_uri["uri"], "left").drop("uri").join(by_label, F.lower(F.ltrim("x.term")) == F.col("_low"), "left")
     filled = F.col("x").withField("term", F.coalesce("x.term", "_label", "_hit.label")).withField("uri", F.coalesce("x.uri", "_hit.uri"))
     filled = filled.withField("vocabulary", F.when(filled["uri"].isNotNull(), F.coalesce("x.vocabulary", F.lit("EDAM"))).otherwise(F.col("x.vocabulary")))
     ok = F.col("x.term").isNull() | F.col("x.uri").isNotNull() | F.col("_hit").isNotNull()
-    g = x.groupBy("_id").agg(F.transform(F.array_sort(F.collect_list(F.when(ok, F.struct("_p", filled.alias("v"))))), lambda s: s["v"]).alias("_new"), F.min(ok).alias("_ok"))
-    joined = rows.join(g, F.col(id_col) == F.col("_id"), "left")
-    value = F.coalesce(F.col("_new") if keep_matched else F.when(F.col("_ok"), F.col("_new")), F.slice(F.col(column), 1, 0))
+    g = x.groupBy("__voc_id").agg(F.transform(F.array_sort(F.collect_list(F.when(ok, F.struct("_p", filled.alias("v"))))), lambda s: s["v"]).alias("__voc_new"), F.min(ok).alias("__voc_ok"))
+    joined = rows.join(g, F.col(id_col) == F.col("__voc_id"), "left")
+    value = F.coalesce(F.col("__voc_new") if keep_matched else F.when(F.col("__voc_ok"), F.col("__voc_new")), F.slice(F.col(column), 1, 0))
     return joined.withColumn(column, value).select(*rows.columns)
