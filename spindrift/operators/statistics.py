@@ -223,3 +223,45 @@ def computation(result: DataFrame, variable: str, collection: str, version: Colu
     rows = result.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*result.columns)))).alias("data"))
     stamp = version if version is not None else F.date_format(F.current_timestamp(), "dd/MM/yyyy HH:mm:ss")
     return rows.select(F.lit(variable).alias("variable"), stamp.alias("version"), "data", F.lit(collection).alias("collection"))
+
+
+#: Features of a publication, and the citation sources that count as one more each. Fixed values.
+PUBLICATION_FEATURES = "doi pmid pmcid title url year journal abstract".split()
+CITATION_SOURCES = ["Europe PMC", "Semantic Scholar"]
+
+
+def share_complete(rows: DataFrame, features: list[str]) -> Column:
+    """Share of the features that are meaningful; those that rows lack are not."""
+    return completeness(rows.schema, [f for f in features if f in rows.columns]) / len(features)
+
+
+def source_completeness(tools: DataFrame, ids_col: str, entries: DataFrame, id_col: str, source: str, features: list[str] = COMPLETE) -> DataFrame:
+    """(tool, score): the mean completeness of a tool's entries whose id has `source`/ in it."""
+    scored = entries.select(F.col(id_col).alias("_id"), share_complete(entries, features).alias("_s"))
+    ids = tools.select(F.col("block").alias("tool"), F.explode(ids_col).alias("_id")).where(F.col("_id").contains(f"{source}/"))
+    return ids.join(scored, "_id").groupBy("tool").agg(F.avg("_s").alias("score"))
+
+
+def publication_completeness(publications: DataFrame, id_col: str, citations_col: str, features: list[str] = PUBLICATION_FEATURES, out_of: int = 11) -> DataFrame:
+    """(id, score): meaningful features and known citation sources of a publication, out of `out_of`."""
+    known = F.coalesce(F.size(F.filter(citations_col, lambda c: c["source"].isin(CITATION_SOURCES))), F.lit(0))
+    n = completeness(publications.schema, [f for f in features if f in publications.columns]) + F.greatest(known, F.lit(0))
+    return publications.select(F.col(id_col).alias("id"), (n / out_of).alias("score"))
+
+
+def normalised_formats(entries: DataFrame, id_col: str, source: str = "biotools") -> DataFrame:
+    """(id, n): inputs and outputs of an entry of the source that have an address themselves or for their datatype."""
+    both = F.concat(*(F.coalesce(F.transform(c, lambda x: F.coalesce(F.nullif(x["uri"], F.lit("")), F.nullif(x["datatype"]["uri"], F.lit("")))), F.array().cast("array<string>")) for c in ("input", "output")))
+    rows = entries.where(F.array_contains("source", source)).select(F.col(id_col).alias("id"), F.size(F.filter(both, lambda u: u.isNotNull())).alias("n"))
+    return rows.where("n > 0")
+
+
+def tools_with_any(tools: DataFrame, ids_col: str, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """Tools that name any of the ids."""
+    named = tools.select("block", F.explode(ids_col).alias(id_col)).join(ids.select(id_col), id_col, "left_semi")
+    return tools.join(named.select("block").distinct(), "block", "left_semi")
+
+
+def types_by_name(entries: DataFrame, source: str = "bioconda") -> DataFrame:
+    """(name, types) of the entries that come from the source alone."""
+    return entries.where(F.col("source") == F.array(F.lit(source))).groupBy("name").agg(F.array_sort(F.collect_set("type")).alias("types"))

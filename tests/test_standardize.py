@@ -61,7 +61,7 @@ def test_biotools(entries):
     assert e.label == ["BB"] and e.operating_system == ["macOS", "Linux"] and e.webpage == []
     assert [(d.type, d.url) for d in e.documentation] == [("general", "https://d.org/a"), ("manual", "https://d.org/m")]
     assert [(i.uri, i.datatype.uri) for i in e.input] == [("http://e.org/format_1", "http://e.org/data_1"), (None, "http://e.org/data_2")]
-    assert e.authors[0].type == "Organization" and e.topics[0].uri == "http://e.org/topic_1"
+    assert e.authors[0].type == "Organization" and e.topics[0].uri == "http://e.org/topic_0001"
 
 
 def test_others(entries):
