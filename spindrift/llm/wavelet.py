@@ -33,6 +33,8 @@ BLOCK = 512
 MAGIC = b"WVM1"
 #: Tokens after which a shard is closed, at the end of a document.
 SHARD_TOKENS = 1 << 21
+#: Pieces that the library gets in one call.
+LINES = 2000
 #: Shards whose places are broadcast; more of them are joined.
 BROADCAST_SHARDS = 200_000
 _LEAST_ID = -(1 << 63)
@@ -266,10 +268,28 @@ class Tokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.table = PieceTable()
+        self.line = self.library.encode("\n", add_special_tokens=False).ids
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_pieces(self, texts: list[str], strange: list[bool]) -> list[bytes]:
+        """Ids of each piece. Plain words go in lines, many to a call: a line break is always a piece and a token of its own between them."""
+        plain = [i for i, t in enumerate(texts) if not strange[i] and t.lstrip(" ") and (not t.isascii() or t.isprintable())]
+        out: dict[int, bytes] = {}
+        for lo in range(0, len(plain) if len(self.line) == 1 else 0, LINES):
+            some = plain[lo : lo + LINES]
+            ids = np.array(self.library.encode_batch_fast(["\n".join([texts[i] for i in some])], add_special_tokens=False)[0].ids, np.uint16)
+            ends = np.append(np.flatnonzero(ids == self.line[0]), len(ids)).tolist()
+            if len(ends) == len(some):
+                raw, begin = ids.tobytes(), 0
+                for i, end in zip(some, ends, strict=True):
+                    out[i] = raw[2 * begin : 2 * end]
+                    begin = end + 1
+        rest = [i for i in range(len(texts)) if i not in out]
+        out.update(zip(rest, self._library([texts[i] for i in rest]), strict=True))
+        return [out[i] for i in range(len(texts))]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, ids of each)."""
         docs, table = len(offsets) - 1, self.table
@@ -285,8 +305,8 @@ class Tokens:
             new, at, back = np.unique(h[missing], return_index=True, return_inverse=True)
             at = missing[at]
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
-            ids = self._library(texts)
             strange = [not (t.isascii() or t.strip(" ").isalpha()) for t in texts]
+            ids = self._of_pieces(texts, strange)
             known = table.add(new, ids, strange)
             pool, first, odd = table.pool, table.first, table.odd
             places = np.arange(table.n - known, table.n - known + len(new), dtype=np.int64)
