@@ -594,3 +594,129 @@ def token_counts(spark, sf_dir):
 def entry_ids(spark, sf_dir):
     kind = F.when(F.col("p_size") > 25, F.col("p_type"))
     return _t(spark, sf_dir, "part").select("p_partkey", text.entry_id(F.lit("biotools"), F.col("p_name"), kind, F.lit(None)).alias("id"))
+
+
+# --- names, vocabularies, validity -----------------------------------------
+
+
+@query(
+    "vocabulary_lookup",
+    """
+    WITH d AS (SELECT lower(n_name) AS low, arg_min(n_nationkey, n_nationkey) AS uri FROM nation GROUP BY 1), q AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '  ' || n_name WHEN c_custkey % 3 = 1 THEN lower(n_name) ELSE 'nowhere' END AS term FROM customer JOIN nation ON c_nationkey = n_nationkey)
+    SELECT c_custkey, CAST(d.uri AS VARCHAR) AS uri FROM q LEFT JOIN d ON lower(ltrim(q.term)) = d.low""",
+)
+def vocabulary_lookup(spark, sf_dir):
+    """Terms of customers looked up in the dimension of nations, cases and leading blanks apart."""
+    from spindrift.sources.standardize import FORMAT, with_vocabulary
+
+    nation = _t(spark, sf_dir, "nation")
+    words = nation.select(F.col("n_nationkey").cast("string").alias("uri"), F.col("n_name").alias("label"), F.col("n_nationkey").alias("ord"))
+    term = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("  "), "n_name")).when(F.col("c_custkey") % 3 == 1, F.lower("n_name")).otherwise(F.lit("nowhere"))
+    none = F.lit(None).cast("string")
+    rows = _t(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.array(F.struct(none.alias("vocabulary"), term.alias("term"), none.alias("uri"), F.lit(None).alias("datatype"))).cast(FORMAT).alias("x"))
+    found = with_vocabulary(rows, "x", words, "c_custkey")
+    return found.select("c_custkey", F.get("x", F.lit(0))["uri"].alias("uri"))
+
+
+@query("format_synonyms", "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'Textual format' WHEN 1 THEN 'TSV' WHEN 2 THEN 'YAML' WHEN 3 THEN p_type ELSE '' END AS format FROM part")
+def format_synonyms(spark, sf_dir):
+    size = F.col("p_size") % 5
+    term = F.when(size == 0, F.lit(" txt")).when(size == 1, F.lit("Tabular")).when(size == 2, F.lit("yml")).when(size == 3, F.col("p_type"))
+    return _t(spark, sf_dir, "part").select("p_partkey", text.normalize_format(term).alias("format"))
+
+
+@query(
+    "monitor_ids",
+    "SELECT p_partkey, p_name AS name, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS version, p_type AS type FROM part WHERE p_size % 2 = 0",
+)
+def monitor_ids(spark, sf_dir):
+    plus = F.when(F.col("p_size") > 25, F.concat("p_name", F.lit(":"), F.col("p_size").cast("string"))).otherwise(F.col("p_name"))
+    address = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("https://host/monitor/tool/biotools:"), plus, F.lit("/"), "p_type", F.lit("/end"))).otherwise(F.lit("https://host/short"))
+    rows = _t(spark, sf_dir, "part").select("p_partkey", text.monitor_id(address).alias("m"))
+    return rows.where("m IS NOT NULL").select("p_partkey", "m.name", "m.version", "m.type")
+
+
+def _raw_parts(spark, sf_dir):
+    """Raw documents made of parts: half from one source, half from another."""
+    p = _t(spark, sf_dir, "part")
+    kind = F.when(F.col("p_size") % 2 == 0, F.lit("biotools")).otherwise(F.lit("galaxy_metadata"))
+    a = F.to_json(F.struct(F.concat("p_name", F.col("p_partkey").cast("string")).alias("@label"), F.lit("web").alias("@type"), F.col("p_size").cast("string").alias("@version"), F.col("p_name").alias("name"), F.col("p_brand").alias("description"), F.array(F.lit("Linux"), F.when(F.col("p_size") > 40, F.lit("OS/2"))).alias("os")))
+    b = F.to_json(F.struct(F.when(F.col("p_size") > 3, F.concat("p_name", F.col("p_partkey").cast("string"))).alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("string").alias("version")))
+    return p.select(F.col("p_partkey").cast("string").alias("_id"), kind.alias("data_source"), F.lit(None).cast("string").alias("source_url"), F.when(F.col("p_size") % 2 == 0, a).otherwise(b).alias("data"))
+
+
+@query(
+    "standardized_entries",
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS _id, CASE WHEN p_size % 2 = 0 THEN 'biotools/' ELSE 'galaxy_metadata/' END || p_name || CAST(p_partkey AS VARCHAR) || CASE WHEN p_size % 2 = 0 THEN '/web/' ELSE '/cmd/' END || CAST(p_size AS VARCHAR) AS id,
+      CASE WHEN p_size % 2 = 0 AND p_size <= 40 THEN 1 ELSE 0 END AS n_systems, CASE WHEN p_size % 2 = 0 THEN p_brand || '.' ELSE '' END AS description
+    FROM part WHERE p_size % 2 = 0 OR p_size > 3""",
+)
+def standardized_entries(spark, sf_dir):
+    from spindrift.sources.standardize import standardize
+
+    rows = standardize(_raw_parts(spark, sf_dir), ["biotools", "galaxy_metadata"])
+    return rows.select("_id", "id", F.size("operating_system").alias("n_systems"), F.array_join("description", "").alias("description"))
+
+
+@query("rejected_documents", "SELECT CAST(p_partkey AS VARCHAR) AS _id, 'galaxy_metadata' AS data_source FROM part WHERE p_size % 2 = 1 AND p_size <= 3")
+def rejected_documents(spark, sf_dir):
+    from spindrift.sources.standardize import quarantine
+
+    return quarantine(_raw_parts(spark, sf_dir), ["biotools", "galaxy_metadata"])
+
+
+@query(
+    "provenance_upsert",
+    "SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 10 = 0 THEN 't1' ELSE 't0' END AS last_updated_at, CASE WHEN c_custkey >= 1000000 THEN 't1' ELSE 't0' END AS created_at FROM (SELECT c_custkey, c_mktsegment FROM customer UNION ALL SELECT c_custkey + 1000000 - c_custkey % 10, c_mktsegment FROM customer WHERE c_custkey % 50 = 7)",
+)
+def provenance_upsert(spark, sf_dir):
+    stamp = lambda t: {c: F.lit(t) for c in ("created_at", "created_by", "created_logs", "last_updated_at", "updated_by", "updated_logs")}
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    added = c.where("c_custkey % 50 = 7").select((F.col("c_custkey") + 1000000 - F.col("c_custkey") % 10).alias("c_custkey"), "c_mktsegment")
+    new = c.where("c_custkey % 10 = 0").union(added)
+    done = documents.upsert_provenance(c.withColumns(stamp("t0")), new, "c_custkey", F.lit("t1"), F.lit("t1"), F.lit("t1"))
+    return done.select("c_custkey", "c_mktsegment", "last_updated_at", "created_at")
+
+
+@query(
+    "source_coverage",
+    """
+    WITH l AS (SELECT o_custkey, list(DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'bioconda' WHEN '2-HIGH' THEN 'bioconda' WHEN '3-MEDIUM' THEN 'github' WHEN '4-NOT SPECIFIED' THEN 'toolshed' END) FILTER (o_orderpriority <> '5-LOW') AS s FROM orders GROUP BY o_custkey)
+    SELECT s.label, count(l.o_custkey) AS n FROM (VALUES ('bioconda'), ('github'), ('toolshed'), ('galaxy')) s(label) LEFT JOIN l ON list_contains(l.s, s.label) GROUP BY 1""",
+)
+def source_coverage(spark, sf_dir):
+    """Customers by the labels of their order priorities, taken as sources; several sources share a label, one has none."""
+    names = {"1-URGENT": "bioconda", "2-HIGH": "bioconda", "3-MEDIUM": "github", "4-NOT SPECIFIED": "toolshed", "never": "galaxy"}
+    g = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("s"))
+    return statistics.tools_per_source(g, "s", names)
+
+
+@query("secondary_blocks")
+def secondary_blocks(spark, sf_dir):
+    """New blocks for records that leave several entries unmerged."""
+    conflicts = _text_ids(_conflicts(spark, sf_dir))
+    apart = lambda pairs: pairs.withColumns({"verdict": F.lit("different"), "confidence": F.lit("low")})
+    return resolve.secondary_conflicts(resolve.resolution_records(conflicts, apart(resolve.build_pairs(conflicts)))).select("block", "entry", "ord", "role")
+
+
+@query("resolution_funnel")
+def resolution_funnel(spark, sf_dir):
+    entries, _ = _entries(spark, sf_dir)
+    return resolve.funnel(resolve.resolve(_text_ids(entries.select("block", "entry", "ord")), _text_ids(_conflicts(spark, sf_dir)), _provider))
+
+
+@query("replies_parsed", "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'Same' END AS verdict FROM conversations")
+def replies_parsed(spark, sf_dir):
+    """Verdicts in fenced blocks of replies; a reply without one gives null."""
+    reply = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("So:\n```json\n{\"verdict\": \"Same\", \"confidence\": \"high\"}\n```\n"), F.replace(F.replace("text", F.lit("{"), F.lit("(")), F.lit("}"), F.lit(")")))).otherwise(F.lit("no verdict"))
+    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", text.fenced_json(reply, "verdict string, confidence string")["verdict"].alias("verdict"))
+
+
+@query(
+    "completeness_share",
+    "SELECT doc_id, (CASE WHEN text IN ('', 'None', 'unknown') THEN 0 ELSE 1 END + CASE WHEN lang IN ('', 'None', 'unknown') THEN 0 ELSE 1 END + CASE WHEN coalesce(quality, 0) <> 0 THEN 1 ELSE 0 END) / 4 AS score FROM documents LEFT JOIN labels USING (doc_id)",
+)
+def completeness_share(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    return rows.select("doc_id", statistics.share_complete(rows, ["text", "lang", "quality", "absent"]).alias("score"))
