@@ -2,7 +2,9 @@
 
 Every round runs a large-star and a small-star step over the edges, each a
 grouped minimum and a join, so that no vertex's neighbours are ever collected.
-The edges' number never grows, and rounds are logarithmic in the vertices.
+The edges' number never grows, and rounds are logarithmic in the vertices. The
+joins are salted when a vertex has more than HUB neighbours, as the centre of a
+large component has.
 """
 
 from __future__ import annotations
@@ -13,20 +15,30 @@ from pyspark.sql import functions as F
 from spindrift.storage import materialise
 
 MAX_ROUNDS = 60
+#: Neighbours of one vertex that a task joins at most, about.
+HUB = 500_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _joined(edges: DataFrame, least: DataFrame, salts: int) -> DataFrame:
+    """edges with their u's row of least."""
+    if salts == 1:
+        return edges.join(least, "u")
+    edges = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)))
+    return edges.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))), ["u", "salt"]).drop("salt")
+
+
+def _large_star(edges: DataFrame, salts: int) -> DataFrame:
     """Each vertex's larger neighbours, linked to the least of its neighbours and itself."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _joined(both.where("v > u"), least, salts).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, salts: int) -> DataFrame:
     """Each vertex and its smaller neighbours, linked to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(least, "u")
+    joined = _joined(down, least, salts)
     return joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
 
 
@@ -37,7 +49,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     signature = None
     for _ in range(MAX_ROUNDS):
-        edges = materialise(_small_star(_large_star(edges)).where("u <> v").distinct())
+        degree = edges.groupBy("v").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        salts = -(-degree // HUB) or 1
+        edges = materialise(_small_star(_large_star(edges, salts), salts).where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == signature:
             break

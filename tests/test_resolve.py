@@ -27,6 +27,13 @@ def test_components_against_union_find(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_hubs_are_salted(spark, monkeypatch):
+    monkeypatch.setattr("spindrift.operators.components.HUB", 7)
+    edges = [(0, k) for k in range(1, 60)] + [(100 + k, 101 + k) for k in range(30)]
+    found = dict((x.vertex, x.component) for x in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
+    assert found == {k: 0 for k in range(60)} | {k: 100 for k in range(100, 131)}
+
+
 def group(spark, entries, links):
     rows = spark.createDataFrame(entries, "id string, ord int, name string, type string")
     at = spark.createDataFrame(links, "e string, l string")
