@@ -150,7 +150,8 @@ def _linked(bits: int, tables: int, threshold: float):
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row."""
     spark = prepare(rows.sparkSession)
-    v = F.col(vector_col).cast("array<double>")
+    kind = rows.schema[vector_col].dataType.simpleString()
+    v = F.col(vector_col) if kind == "array<float>" else F.col(vector_col).cast("array<double>")  # as narrow as it comes; sums are in double precision
     rows = rows.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.select("vec_id", "v", F.coalesce(finite, F.lit(False)).alias("some"), F.xxhash64("v").alias("h1"), F.xxhash64("v", F.lit(1)).alias("h2"))
