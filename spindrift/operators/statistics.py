@@ -226,7 +226,7 @@ def computation(result: DataFrame, variable: str, collection: str, version: Colu
 
 
 #: Features of a publication, and the citation sources that count as one more each. Fixed values.
-PUBLICATION_FEATURES = "doi pmid pmcid title url year journal abstract".split()
+PUBLICATION_FEATURES = "year title abstract journal authors url pmcid pmid doi".split()
 CITATION_SOURCES = ["Europe PMC", "Semantic Scholar"]
 
 

@@ -15,7 +15,7 @@ from spindrift.sources.standardize import quarantine, standardize
 from spindrift.storage import materialise
 
 #: Tags whose tools have statistics of their own. Fixed values.
-COLLECTIONS = ["rd-connect", "RIS3CAT VEIS", "Proteomics", "3D-BioInfo", "EMBL-EBI"]
+COLLECTIONS = ["RIS3CAT VEIS", "ELIXIR-ES", "PerMedCoE", "IMPaCT-Data", "Proteomics"]
 
 
 def transform(raw: DataFrame, sources: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

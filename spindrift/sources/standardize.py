@@ -34,7 +34,8 @@ FIELDS = {
 
 #: Values that the fields permit. Fixed values.
 TYPES = ["cmd", "web", "db", "app", "lib", "ontology", "workflow", "plugin", "sparql", "soap", "script", "rest", "workbench", "suite", "undefined"]
-SYSTEMS = ["Linux", "Windows", "macOS", "BSD", "Solaris", "Android", "iOS", "other", "Mac"]
+SYSTEMS = ["Linux", "Windows", "macOS", "BSD", "Solaris", "Android", "iOS", "ChromeOS", "other"]
+CONTRIBUTORS = ["Person", "Organization"]
 
 
 def text(path: str) -> Column:
@@ -297,6 +298,7 @@ def valid_fields(rows: DataFrame, keep_valid_elements: bool = False) -> DataFram
             "download": urls(pick("download", is_web_url)),
             "repository": F.transform(pick("repository", lambda r: is_web_url(r["url"])), lambda r: r.withField("url", canonical_url(r["url"]))),
             "operating_system": pick("operating_system", lambda o: o.isin(SYSTEMS)),
+            "authors": pick("authors", lambda a: a["type"].isNull() | a["type"].isin(CONTRIBUTORS)),
             **{c: pick(c, lambda t: t["uri"].isNull() | t["uri"].rlike(r"_\d{4}")) for c in ("topics", "operations")},
             "documentation": F.transform(pick("documentation", lambda d: d["url"].isNull() | is_web_url(d["url"])), lambda d: d.withField("type", F.when(d["type"] == "documentation", F.lit("general")).otherwise(d["type"]))),
         }
