@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables that clean() deletes.
+_written: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
@@ -23,4 +26,15 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/spindrift-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Deletes the intermediate tables that this process has written, through Spark's own file systems; how many. For when their results have been saved."""
+    conf, paths = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    n = 0
+    while _written:
+        path = paths(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -96,3 +96,12 @@ def test_streams(spark, tmp_path):
     q = ingest.upsert_batches(ingest.deduplicated(stream, "id", "ts"), lambda batch, n: seen.extend(r.id for r in batch.collect()), str(tmp_path / "c"))
     q.awaitTermination(60)
     assert sorted(seen) == ["a", "b"]
+
+
+def test_intermediate_tables_go(spark):
+    from spindrift import storage
+
+    df = storage.materialise(spark.range(5))
+    path = storage._written[-1]
+    assert df.count() == 5 and path.startswith(storage.shared_dir(spark))
+    assert storage.clean(spark) >= 1 and storage._written == []
