@@ -87,16 +87,24 @@ def tokens(text: Column) -> Column:
 
 
 def chunk_words(text: Column, most: int) -> Column:
-    """Greedy chunks of whole words of up to `most` tokens by tokens(); a longer word is a chunk of its own."""
-    words = F.filter(F.split(text, r"\s+"), lambda x: x != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    """Greedy chunks of whole words of up to `most` tokens by tokens(); a longer word is a chunk of its own.
+
+    The fold carries lengths and the places of cuts alone; words are joined once.
+    """
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("cuts"))
 
-    def add(state, word):
-        longer = F.when(state["open"] == "", word).otherwise(F.concat(state["open"], F.lit(" "), word))
-        fits = (state["open"] == "") | (tokens(longer) <= most)
-        return F.struct(F.when(fits, state["done"]).otherwise(F.array_append(state["done"], state["open"])).alias("done"), F.when(fits, longer).otherwise(word).alias("open"))
+    def add(s, size):
+        longer = s["n"] + 1 + size
+        fits = (s["i"] == 0) | (longer <= 4 * most)
+        return F.struct((s["i"] + 1).alias("i"), F.when(s["i"] == 0, size).when(fits, longer).otherwise(size).alias("n"), F.when(fits, s["cuts"]).otherwise(F.array_append(s["cuts"], s["i"])).alias("cuts"))
 
-    return F.aggregate(words, start, add, lambda s: F.when(s["open"] == "", s["done"]).otherwise(F.array_append(s["done"], s["open"])))
+    def joined(words):
+        cuts = F.aggregate(F.transform(words, lambda w: F.length(w)), start, add, lambda s: s["cuts"])
+        piece = lambda c: F.transform(F.concat(F.array(F.lit(0)), c), lambda b, k: F.array_join(F.slice(words, b + 1, F.coalesce(F.get(c, k), F.size(words)) - b), " "))
+        return F.when(F.size(words) > 0, F.get(F.transform(F.array(cuts), piece), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+    words = F.filter(F.split(text, r"\s+"), lambda x: x != "")
+    return F.get(F.transform(F.array(words), joined), F.lit(0))
 
 
 def within_budget(parts: Column, most: int) -> Column:
