@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one that is read in fewer parts than there are cores, as a small file is, is dealt out to all of them."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
