@@ -120,3 +120,9 @@ def tools_of(records: DataFrame) -> DataFrame:
     one = done.where(F.size("merged") > 0).select(F.col("block").alias("tool"), F.posexplode("merged").alias("ord", "entry"))
     apart = done.where((F.col("resolution") == "partial") & (F.size("unmerged") == 1)).select(F.concat("block", F.lit("#unmerged")).alias("tool"), F.lit(0).alias("ord"), F.get("unmerged", F.lit(0)).alias("entry"))
     return one.unionByName(apart)
+
+
+def as_stored(tools: DataFrame, stamp: Column | None = None, block: str = "block", entries: str = "entries") -> DataFrame:
+    """(tool_id, source, timestamp, data): merged tools as they are kept; data holds all merged fields."""
+    fields = [c for c in tools.columns if c not in (block, entries)]
+    return tools.select(F.col(block).alias("tool_id"), F.col(entries).alias("source"), (stamp if stamp is not None else F.current_timestamp()).alias("timestamp"), F.struct(*fields).alias("data"))

@@ -720,3 +720,15 @@ def replies_parsed(spark, sf_dir):
 def completeness_share(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
     return rows.select("doc_id", statistics.share_complete(rows, ["text", "lang", "quality", "absent"]).alias("score"))
+
+
+@query("issue_texts")
+def issue_texts(spark, sf_dir):
+    """What a reviewer sees of the blocks in conflict, parts taken as entries."""
+    from spindrift.operators import reviews
+    from spindrift.sources.standardize import AUTHOR, LICENCE, REPOSITORY
+
+    entries, _ = _entries(spark, sf_dir)
+    blank = lambda t: F.array().cast(t)
+    shown = _text_ids(entries).select(F.col("entry").alias("id"), "name", F.array("block").alias("description"), F.array(F.concat(F.lit("https://example.org/"), "entry")).alias("webpage"), blank(REPOSITORY).alias("repository"), blank(LICENCE).alias("license"), blank(AUTHOR).alias("authors"))
+    return reviews.issue_texts(_text_ids(_conflicts(spark, sf_dir)), shown)

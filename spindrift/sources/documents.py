@@ -50,6 +50,27 @@ def delete(old: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return old.join(keys.select(key), key, "left_anti")
 
 
+def append(rows: DataFrame, path: str) -> None:
+    """Adds rows to a table; for logs and results."""
+    rows.write.mode("append").parquet(path)
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, table_key: str, required: bool = True) -> DataFrame:
+    """rows with the columns of their row in a table; with required, a key that the table lacks fails the job."""
+    hit = table.select(F.col(table_key).alias("_key"), *(c for c in table.columns if c != table_key))
+    joined = rows.join(hit, F.col(key) == F.col("_key"), "left")
+    if required:
+        wrong = F.concat(F.lit("no row for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        joined = joined.withColumn(key, F.when(F.col("_key").isNull(), F.raise_error(wrong)).otherwise(F.col(key)))
+    return joined.drop("_key")
+
+
+def ci_links(env: dict[str, str]) -> tuple[str | None, str | None]:
+    """(address of the commit, address of the job's log) from a continuous-integration environment, or nulls outside one."""
+    project, commit, job = env.get("CI_PROJECT_URL"), env.get("CI_COMMIT_SHA"), env.get("CI_JOB_URL")
+    return (f"{project}/-/commit/{commit}" if project and commit else None), job
+
+
 def without_payload(rows: DataFrame, *payload: str) -> DataFrame:
     """Metadata columns alone; the payload is never read."""
     return rows.drop(*(payload or ("data",)))

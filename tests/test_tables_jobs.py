@@ -1,9 +1,11 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from spindrift import cli
+from spindrift.operators import merge
 from spindrift.plans import integration
 from spindrift.sources import documents as D
 from spindrift.streaming import ingest
@@ -105,3 +107,21 @@ def test_intermediate_tables_go(spark):
     path = storage._written[-1]
     assert df.count() == 5 and path.startswith(storage.shared_dir(spark))
     assert storage.clean(spark) >= 1 and storage._written == []
+
+
+def test_look_ups(spark, tmp_path):
+    rows, table = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("a", 1)], "id string, v int")
+    assert {(r.k, r.v) for r in D.looked_up(rows, "k", table, "id", required=False).collect()} == {("a", 1), ("b", None)}
+    assert D.looked_up(rows.where("k = 'a'"), "k", table, "id").first().v == 1
+    with pytest.raises(Exception, match="no row for key b"):
+        D.looked_up(rows, "k", table, "id").collect()
+    for _ in range(2):
+        D.append(table, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+    assert D.ci_links({"CI_PROJECT_URL": "https://h/p", "CI_COMMIT_SHA": "c", "CI_JOB_URL": "j"}) == ("https://h/p/-/commit/c", "j") and D.ci_links({}) == (None, None)
+
+
+def test_stored_tools(spark):
+    tools = spark.createDataFrame([("b", ["e1"], "n", ["cmd"])], "block string, entries array<string>, name string, type array<string>")
+    r = merge.as_stored(tools, F.lit("t")).first()
+    assert (r.tool_id, r.source, r.timestamp, r.data.name, r.data.type) == ("b", ["e1"], "t", "n", ["cmd"])
