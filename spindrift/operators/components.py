@@ -42,20 +42,25 @@ def _small_star(edges: DataFrame, salts: int) -> DataFrame:
     return joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
 
 
+def _state(edges: DataFrame) -> tuple:
+    """(largest number of edges to one vertex, edges, a checksum of all edges), from one job."""
+    per = edges.groupBy("v").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    most, n, h = per.agg(F.max("n"), F.sum("n"), F.sum("h")).first()
+    return most or 0, n or 0, h
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(vertex, component): the least vertex that each vertex of an edge is connected with. Null ends are dropped; loops keep their vertex."""
     edges = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     loops = edges.where("u = v").select(F.col("u").alias("vertex")).distinct()
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    signature = None
+    now, before = _state(edges), None
     for _ in range(MAX_ROUNDS):
-        degree = edges.groupBy("v").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        salts = -(-degree // HUB) or 1
-        edges = materialise(_small_star(_large_star(edges, salts), salts).where("u <> v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == signature:
+        if now == before or not now[1]:
             break
-        signature = tuple(now)
+        salts = -(-now[0] // HUB) or 1
+        edges = materialise(_small_star(_large_star(edges, salts), salts).where("u <> v").distinct())
+        now, before = _state(edges), now
     else:
         raise RuntimeError(f"no fixpoint after {MAX_ROUNDS} rounds")
     found = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
