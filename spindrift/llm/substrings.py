@@ -3,8 +3,9 @@
 A passage repeats if WINDOW consecutive words of it start earlier in the corpus
 (smaller id, or same document and earlier start). The reference is cut into
 blocks (chunks of documents in id order). A block indexes the windows that occur
-in it first and parses its own documents against that index. What is left, a
-block's first occurrences, is indexed across blocks: each window goes to the
+in it first and parses its own documents against that index; what it found is
+written with the compressed texts, so that all later steps go by one cut into
+blocks. What is left, a block's first occurrences, is indexed across blocks: each window goes to the
 partition of its anchor, the smallest GRAM-word hash inside it, so that equal
 windows meet and a run of windows with one anchor travels as one row with
 6 bytes a window. There each window gets the place of its first occurrence.
@@ -29,12 +30,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import prepare
+from .runtime import materialise, prepare
 
 WINDOW = 20
 GRAM = 6
@@ -83,19 +85,52 @@ def _runs(*follows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _unpacked(batches):
+    """(rows, bytes, offsets) of at most CHUNK_BYTES of text, or of one document, from compressed texts."""
+    squeeze = zstandard.ZstdDecompressor()
+
+    def part(batch, at, upto, texts):
+        return batch.slice(at, upto - at), np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+
+    for batch in batches:
+        at, size, texts = 0, 0, []
+        for i, raw in enumerate(batch.column("packed")):
+            text = squeeze.decompress(raw.as_py())
+            if texts and size + len(text) > W.CHUNK_BYTES:
+                yield part(batch, at, i, texts)
+                at, size, texts = i, 0, []
+            size += len(text)
+            texts.append(text)
+        if texts:
+            yield part(batch, at, batch.num_rows, texts)
+    W.free()
+
+
+def _own(rows, doc, start):
+    """Which windows are repeats inside their block, as _packed found them."""
+    n = np.bincount(doc, minlength=rows.num_rows)
+    base = np.cumsum(n) - n
+    times = pc.list_value_length(rows.column("own_start")).to_numpy(zero_copy_only=False)
+    at = np.repeat(base, times) + rows.column("own_start").flatten().to_numpy()
+    change = np.zeros(len(doc) + 1, np.int32)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + rows.column("own_n").flatten().to_numpy(), -1)
+    return np.cumsum(change[:-1])[base[doc] + start] > 0
+
+
 def _anchor_rows(shared):
-    """Map step: (anchor, doc_id, start, windows) of the windows that occur in a block first."""
+    """Map step over _packed's rows: (anchor, doc_id, start, windows) of the windows that _packed did not find earlier in their block."""
 
     def rows_of(batches):
         frequent = shared.value if shared is not None else np.zeros(0, np.uint64)
-        for rows, data, offsets in W.chunks(batches):
+        for rows, data, offsets in _unpacked(batches):
             ids, doc, start, h, anchors = _windows(rows, data, offsets)
             if not len(h):
                 continue
-            # rows with one id aren't earlier than one another
-            first = _first_of(h)
-            keep = (first == np.arange(len(h))) | ((ids[doc] == ids[doc[first]]) & (start == start[first]))
+            keep = ~_own(rows, doc, start)
             doc, start, h, anchors = doc[keep], start[keep], h[keep], anchors[keep]
+            if not len(h):
+                continue
             hot = np.zeros(len(h), bool)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, anchors), len(frequent) - 1)
@@ -286,24 +321,26 @@ def _without(raw: bytes, w: W.Words, gone: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def frequent_anchors(docs: DataFrame):
+def frequent_anchors(packed: DataFrame):
     """Broadcast of the anchors that a sample of the documents shows often; MOST_FREQUENT at most."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+    sample = packed.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
     rows = (
         sample.mapInArrow(_anchor_rows(None), _ANCHOR_ROWS).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
         .orderBy(F.desc("n"), "anchor").limit(MOST_FREQUENT).select("anchor").toPandas()
     )
-    return docs.sparkSession.sparkContext.broadcast(np.sort(rows["anchor"].to_numpy(np.int64).view(np.uint64)))
+    return packed.sparkSession.sparkContext.broadcast(np.sort(rows["anchor"].to_numpy(np.int64).view(np.uint64)))
 
 
 def _found(docs: DataFrame, with_text: bool) -> DataFrame:
     """Results for docs (doc_id, text, extra)."""
-    rows = docs.select("doc_id", "text")
     extra = docs.schema["extra"].dataType.simpleString()
+    # blocks are cut once, and what they found is written: a second cut could end them at other documents
+    packed = materialise(docs.mapInArrow(_packed, _PACKED.format(extra=extra)))
+    rows = packed.select("doc_id", "packed", F.col("own.start").alias("own_start"), F.col("own.n").alias("own_n"))
     shared = frequent_anchors(rows)
     met = rows.mapInArrow(_anchor_rows(shared), _ANCHOR_ROWS).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
     repeats = met.mapInArrow(_repeats, _FACTORS).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
-    found = docs.mapInArrow(_packed, _PACKED.format(extra=extra)).join(repeats, "doc_id", "left")
+    found = packed.join(repeats, "doc_id", "left")
     return found.mapInArrow(_cut(with_text), _CUT.format(extra=extra)).withColumn("doc_id", F.nullif("doc_id", F.lit(_LEAST_ID)))
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -43,6 +44,17 @@ def test_small_batches_change_nothing(spark, docs, texts, monkeypatch):
     assert found == brute(texts)
 
 
+def test_blocks_of_large_partitions_lose_nothing(spark):
+    """Each text ends with the passage that the next one begins with; two partitions of 9 MB, with a wide column."""
+    r = random.Random(3)
+    words = lambda n: " ".join(f"{r.getrandbits(36):09x}" for _ in range(n))
+    passages = [words(30) for _ in range(8001)]
+    rows = [(i, f"{passages[i]} {words(170)} {passages[i + 1]}", "x" * (i % 40), 0) for i in range(8000)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string, source string, n_chars long")
+    left = {r.doc_id: len(r.text.split()) for r in dedup_substrings(docs).select("doc_id", "text").collect()}
+    assert left == {i: 230 if i == 0 else 200 for i in range(8000)}
+
+
 def test_texts_are_cut(docs):
     rows = {r.doc_id: r for r in dedup_substrings(docs).collect() if r.doc_id}
     assert dedup_substrings(docs).columns == docs.columns
