@@ -28,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.operators.components import components
@@ -227,22 +227,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialise(docs.mapInArrow(_signed, _SIGNED))
     member = signed.where("some").select("doc_id", "hi", "lo")
-    classes = materialise(member.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    # ids may repeat with other texts, so classes go by a key of their own
+    classes = materialise(member.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).withColumn("key", F.monotonically_increasing_id()))
     # one signature for each class
-    reps = signed.where("some").join(classes, (signed.hi == classes.hi) & (signed.lo == classes.lo) & (signed.doc_id == classes.rep), "left_semi").dropDuplicates(["doc_id", "hi", "lo"])
-    reps = materialise(reps.select("doc_id", "bands", "low"))
+    named = classes.select("hi", "lo", F.col("rep").alias("doc_id"), "key")
+    reps = signed.where("some").join(named, ["hi", "lo", "doc_id"]).dropDuplicates(["key"])
+    reps = materialise(reps.select(F.col("key").alias("doc_id"), "bands", "low"))
     band = reps.select("doc_id", F.explode("bands").alias("band"))
     full = band.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
     met = band.join(full, "band").join(reps.select("doc_id", "low"), "doc_id")
     edges = blocks.dealt(met, "band", "doc_id", "c", BUCKET).mapInArrow(_bucket_pairs, "a long, b long")
     groups = materialise(components(edges, "a", "b"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("c"))
-    wanted = groups.join(sizes, "component").join(classes, groups.vertex == classes.rep).select("component", "c", "copies", "hi", "lo", F.col("rep").alias("doc_id"))
-    texts = docs.mapInArrow(_packed, "doc_id long, hi long, lo long, packed binary").join(wanted, ["doc_id", "hi", "lo"]).drop("hi", "lo")
+    wanted = groups.join(sizes, "component").join(classes, groups.vertex == classes.key).select("component", "c", "copies", "hi", "lo", F.col("rep").alias("doc_id"), "key")
+    texts = docs.mapInArrow(_packed, "doc_id long, hi long, lo long, packed binary").join(wanted, ["doc_id", "hi", "lo"]).drop("hi", "lo", "doc_id").withColumnRenamed("key", "doc_id")
     found = materialise(blocks.dealt(texts, "component", "doc_id", "c", GROUP).mapInArrow(_verified, "a long, b long, n long"))
-    linked = components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("rep"), "component")
-    links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    whole = materialise(classes.join(linked, "rep", "left").join(links, "rep", "left").select("hi", "lo", "rep", "copies", F.coalesce("component", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
+    linked = materialise(components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component"))
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
+    least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
+    linked = linked.join(least, "component").drop("component")
+    whole = materialise(classes.join(linked, "key", "left").join(links, "key", "left").select("hi", "lo", "rep", "copies", F.coalesce("least", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
     rows = member.join(whole, ["hi", "lo"]).select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
     alone = signed.where("NOT some").select("doc_id", F.col("doc_id").alias("text_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     null = lambda c: F.nullif(F.col(c), F.lit(LEAST_ID)).alias(c)
@@ -250,10 +254,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the least id of each near-duplicate group; of rows that repeat an id, the one with the least text."""
-    found = near_duplicates(docs, id_col, text_col)
-    key = lambda c: F.coalesce(c, F.lit(LEAST_ID))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("doc_id")).alias("__near_id")).distinct()
-    rows = docs.withColumn("__near_id", key(F.col(id_col).cast("long"))).join(kept, "__near_id")
-    first = rows.withColumn("__near_nth", F.row_number().over(Window.partitionBy("__near_id").orderBy(F.xxhash64(text_col))))
-    return first.where("__near_nth = 1").select(docs.columns)
+    """One row of each near-duplicate group: the one with the least id, of rows that repeat it the one with the least text. Rows are told apart by a key of their own, not by their ids."""
+    rows = materialise(docs.withColumn("__near_row", F.monotonically_increasing_id()))
+    found = near_duplicates(rows, "__near_row", text_col).select(F.col("doc_id").alias("__near_row"), "class_id")
+    order = F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("id"), F.xxhash64(text_col).alias("text"), F.col("__near_row").alias("row"))
+    first = rows.select("__near_row", order.alias("first")).join(found, "__near_row").groupBy("class_id").agg(F.min("first").alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("__near_row")), "__near_row", "left_semi").select(docs.columns)

@@ -21,7 +21,8 @@ what is found.
 
 Defined results: null text has no words; null ids count as the smallest id; rows
 with one id share their positions, so they don't repeat one another; ties can't
-occur otherwise. Other columns are kept by dedup_substrings and never read.
+occur otherwise. dedup_substrings gives rows that repeat an id keys of their own,
+so there they do. Other columns are kept by dedup_substrings and never read.
 """
 
 from __future__ import annotations
@@ -356,6 +357,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prepare(docs.sparkSession)
     others = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("extra"))
+    if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # keys in the order of ids, one for each row
+        ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+        rows = materialise(ordered.withColumn("doc_id", F.monotonically_increasing_id()))
     found = _found(rows, True)
     back = {c: F.col(f"extra.c{i}") for i, c in enumerate(others)}
     if chars_col:

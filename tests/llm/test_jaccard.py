@@ -61,6 +61,27 @@ def test_one_of_each_group(docs):
     assert {1, 2, 3, 4, 6, 7}.issubset(ids) and not {5, 8, 9, 10, 60} & set(ids) and ids.count(None) == 1
 
 
+def _repeated_ids():
+    """Unrelated texts of which a third has no id and a third the id 7; near copies of one text under both, and under an id twice."""
+    words = lambda i: [f"u{i}x{k}" for k in range(60)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i, " ".join(words(i))) for i in range(60)]
+    for i, doc_id in ((1, 7), (2, 7), (3, 500), (4, None), (5, 500)):
+        rows.append((doc_id, " ".join(["near"] + [f"n{k}" for k in range(200)] + [f"end{i}"])))
+    return rows
+
+
+def test_repeated_ids_against_all_pairs(spark):
+    rows = _repeated_ids()
+    found = Counter((r.doc_id, r.n_links, r.class_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == brute(rows)
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    rows = _repeated_ids()
+    kept = Counter((r.doc_id, r.text) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == Counter(rows[:60] + [r for r in rows[60:] if r[0] is None])
+
+
 def test_empty(none):
     assert near_duplicates(none).count() == 0
 

@@ -55,6 +55,14 @@ def test_blocks_of_large_partitions_lose_nothing(spark):
     assert left == {i: 230 if i == 0 else 200 for i in range(8000)}
 
 
+def test_rows_of_one_id_are_cut_each_for_itself(spark):
+    words = lambda n, k: " ".join(f"{n}w{i}" for i in range(k))
+    rows = [(1, words("a", 40), 0), (2, words("b", 50), 0), (2, words("c", 60) + " " + words("a", 40), 0), (None, words("d", 30), 0), (None, words("e", 30), 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(5)
+    left = Counter((r.doc_id, len(r.text.split())) for r in dedup_substrings(docs).collect())
+    assert left == Counter([(1, 40), (2, 50), (2, 60), (None, 30), (None, 30)])
+
+
 def test_texts_are_cut(docs):
     rows = {r.doc_id: r for r in dedup_substrings(docs).collect() if r.doc_id}
     assert dedup_substrings(docs).columns == docs.columns
