@@ -8,6 +8,10 @@ MAX_GAP words), and a chain that covers enough of its template gives a span and
 the template's label. Tokens that no MIN_MATCH-gram of a template touches can't
 be part of such a match, so the automaton skips them.
 
+Templates of at most MIN_MATCH words have an automaton of their own: there
+pieces of any length chain, across a name and a year, and a chain counts if one
+of its pieces has SHORT_MATCH words.
+
 Defined results: a null or empty text has no words; ties between chains go to
 the earliest; repeated rows are scanned each for itself; other columns are
 ignored.
@@ -26,6 +30,7 @@ from . import words as W
 from .runtime import prepare
 
 MIN_MATCH = 4
+SHORT_MATCH = 3
 MAX_GAP = 12
 #: Share of a template that a chain covers.
 COVERED = 0.6
@@ -35,6 +40,7 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 
 #: Notices of public licences, (label, text). Fixed values.
 TEMPLATES = [
+    ("all-rights-reserved", "all rights reserved"),
     ("all-rights-reserved", "copyright all rights reserved"),
     ("apache", "licensed under the apache license version 2.0"),
     ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -119,30 +125,32 @@ def tokens_of(text: str) -> np.ndarray:
     return W.split(data, np.array([0, len(data)]), W.ALNUM, lower=True).hash
 
 
-@lru_cache(1)
-def automaton() -> tuple[SuffixAutomaton, list[int], np.ndarray, np.ndarray]:
-    """(automaton, template lengths, sorted vocabulary, sorted MIN_MATCH-grams); a short template counts by its whole length."""
-    seqs = [tokens_of(t) for _, t in TEMPLATES]
+@lru_cache(2)
+def automaton(short: bool) -> tuple[SuffixAutomaton, list[str], list[int], np.ndarray, np.ndarray]:
+    """(automaton, labels, template lengths, sorted vocabulary, sorted grams that a text must touch) of the templates of at most MIN_MATCH words, or of the others."""
+    both = [(label, tokens_of(t)) for label, t in TEMPLATES]
+    chosen = [(label, s) for label, s in both if (len(s) <= MIN_MATCH) == short]
+    seqs = [s for _, s in chosen]
     vocabulary = np.unique(np.concatenate(seqs))
     sam = SuffixAutomaton([[int(x) for x in np.searchsorted(vocabulary, s)] for s in seqs])
-    return sam, [len(s) for s in seqs], vocabulary, np.unique(np.concatenate([W.grams(s, MIN_MATCH) for s in seqs]))
+    return sam, [label for label, _ in chosen], [len(s) for s in seqs], vocabulary, np.unique(np.concatenate([W.grams(s, SHORT_MATCH if short else MIN_MATCH) for s in seqs]))
 
 
-def maximal_matches(sam: SuffixAutomaton, tokens: list[int], base: int = 0) -> list[tuple[int, int, int]]:
-    """(state, length, end) of the matches of MIN_MATCH or more tokens that can't be extended to the right."""
+def maximal_matches(sam: SuffixAutomaton, tokens: list[int], base: int = 0, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """(state, length, end) of the matches of `least` or more tokens that can't be extended to the right."""
     out, state, matched = [], 0, 0
     for i, c in enumerate(tokens):
         before = (state, matched, base + i - 1)
         state, matched = sam.step(state, matched, c)
-        if before[1] >= MIN_MATCH and matched != before[1] + 1:
+        if before[1] >= least and matched != before[1] + 1:
             out.append(before)
-    if matched >= MIN_MATCH:
+    if matched >= least:
         out.append((state, matched, base + len(tokens) - 1))
     return out
 
 
-def chained(sam: SuffixAutomaton, lengths: list[int], matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-    """(template, first word, last word, covered share) of the chains that cover enough."""
+def chained(sam: SuffixAutomaton, lengths: list[int], matches: list[tuple[int, int, int]], least: int = 0) -> list[tuple[int, int, int, float]]:
+    """(template, first word, last word, covered share) of the chains that cover enough and have a piece of `least` words."""
     by: dict[int, list[tuple[int, int, int]]] = {}
     for state, n, end in matches:
         for k, e in sam.ends[state]:
@@ -150,19 +158,19 @@ def chained(sam: SuffixAutomaton, lengths: list[int], matches: list[tuple[int, i
     spans = []
     for k, found in sorted(by.items()):
         found.sort()
-        open_: list[list[int]] = []  # chains: first word, next word, next template position, covered
+        open_: list[list[int]] = []  # chains: first word, next word, next template position, covered, longest piece
         done = []
         for at, pos, n in found:
             while open_ and at - open_[0][1] > MAX_GAP:
                 done.append(open_.pop(0))
             best = max((c for c in open_ if c[1] <= at and c[2] <= pos), key=lambda c: c[3], default=None)
             if best:
-                best[1:] = [at + n, pos + n, best[3] + n]
+                best[1:] = [at + n, pos + n, best[3] + n, max(best[4], n)]
                 open_.sort(key=lambda c: c[1])
             else:
-                open_.append([at, at + n, pos + n, n])
-        for first, after, _, covered in sorted(done + open_, key=lambda c: (-c[3], c[0])):
-            if covered >= COVERED * lengths[k]:
+                open_.append([at, at + n, pos + n, n, n])
+        for first, after, _, covered, longest in sorted(done + open_, key=lambda c: (-c[3], c[0])):
+            if covered >= COVERED * lengths[k] and longest >= least:
                 spans.append((k, first, after - 1, min(1.0, covered / lengths[k])))
     return spans
 
@@ -173,8 +181,29 @@ _RESULT = (
 )
 
 
+def _spans(w: W.Words, doc: np.ndarray, short: bool) -> dict[int, list[tuple[str, int, int, float]]]:
+    """(label, first word, last word, covered share) by document."""
+    sam, names, lengths, vocabulary, known = automaton(short)
+    # a short template's pieces lie up to MAX_GAP words beside the one that is looked for
+    k, least, beside = (SHORT_MATCH, 1, MAX_GAP + 1) if short else (MIN_MATCH, MIN_MATCH, 0)
+    g = W.grams(w.hash, k)
+    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+    hits = np.flatnonzero(known[at] == g)
+    hits = hits[doc[hits] == doc[hits + k - 1]] if len(hits) else hits
+    found: dict[int, list] = {}
+    if len(hits):
+        cuts = np.flatnonzero((np.diff(hits) > k + 2 * beside) | (np.diff(doc[hits]) != 0)) + 1
+        for run in np.split(hits, cuts):
+            d = int(doc[run[0]])
+            lo, hi = max(int(run[0]) - beside, int(w.first[d])), min(int(run[-1]) + k + beside, int(w.first[d + 1]))
+            h = w.hash[lo:hi]
+            at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+            tokens = np.where(vocabulary[at] == h, at, -1).tolist()
+            found.setdefault(d, []).extend(maximal_matches(sam, tokens, lo - int(w.first[d]), least))
+    return {d: [(names[t], a, b, c) for t, a, b, c in chained(sam, lengths, m, k if short else 0)] for d, m in found.items()}
+
+
 def _scan(batches):
-    sam, lengths, vocabulary, known = automaton()
     phrases = [(tokens_of(p), label) for p, label in PHRASES.items()]
     for rows, data, offsets in W.chunks(batches):
         w = W.split(data, offsets, W.ALNUM, lower=True)
@@ -196,20 +225,9 @@ def _scan(batches):
                 first[d] = x if first[d] < 0 else min(first[d], x)
                 last[d] = max(last[d], x)
                 base.setdefault(d, set()).add(label)
-        g = W.grams(w.hash, MIN_MATCH)
-        at = np.minimum(np.searchsorted(known, g), len(known) - 1)
-        hits = np.flatnonzero(known[at] == g)
-        hits = hits[doc[hits] == doc[hits + MIN_MATCH - 1]] if len(hits) else hits
-        found: dict[int, list] = {}
-        if len(hits):
-            cuts = np.flatnonzero((np.diff(hits) > MIN_MATCH) | (np.diff(doc[hits]) != 0)) + 1
-            for run in np.split(hits, cuts):
-                d = int(doc[run[0]])
-                h = w.hash[run[0] : run[-1] + MIN_MATCH]
-                at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-                tokens = np.where(vocabulary[at] == h, at, -1).tolist()
-                found.setdefault(d, []).extend(maximal_matches(sam, tokens, int(run[0] - w.first[d])))
-        spans = {d: [(TEMPLATES[k][0], a, b, c) for k, a, b, c in chained(sam, lengths, m)] for d, m in found.items()}
+        spans = _spans(w, doc, short=False)
+        for d, more in _spans(w, doc, short=True).items():
+            spans.setdefault(d, []).extend(more)
         labels = [",".join(sorted(base.get(d, set()) | {s[0] for s in spans.get(d, [])})) for d in range(docs)]
         score = [max([1.0 if d in base else 0.0, *(s[3] for s in spans.get(d, []))]) for d in range(docs)]
         none = n_base == 0

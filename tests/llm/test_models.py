@@ -87,6 +87,13 @@ def test_licence_spans(spark):
     assert row[1].labels == "" and row[1].score == 0 and row[1].first_word is None
 
 
+def test_short_notices(spark):
+    texts = ["some words.\nAll rights reserved.", "Copyright 2020 X. All rights reserved.", "a Copyright x. All rights reserved\n", "all rights of man are reserved", "copyright reserved for all", "released under the terms"]
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in rows] == [("all-rights-reserved", 1.0)] * 3 + [("", 0.0)] * 3
+    assert (0, 5) in [(s.first_word, s.last_word) for s in rows[1].spans]
+
+
 def test_gradients(monkeypatch):
     monkeypatch.setattr(toxicity, "_F", np.float64)
     r = np.random.default_rng(0)
