@@ -29,6 +29,28 @@ def test_tail_words_are_joined(docs, texts, monkeypatch):
     assert {(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in brown.score_documents(docs).collect()} == whole
 
 
+def test_size_of_the_shared_table_changes_nothing(docs, monkeypatch):
+    scores = lambda: sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in brown.score_documents(docs).collect())
+    monkeypatch.setattr(brown, "CLUSTERED", 5)
+    whole = scores()
+    monkeypatch.setattr(brown, "SHARED", 3)
+    assert scores() == whole
+
+
+def test_words_outside_the_clustering_have_classes(spark, monkeypatch):
+    """Two kinds of rare words, alike in frequency, told apart by their neighbours; a word seen once is of the rest."""
+    monkeypatch.setattr(brown, "CLUSTERED", 4)
+    monkeypatch.setattr(brown, "CLASSES", 2)
+    texts = [f"a b c d a x{i // 2 % 40} c b" if i % 2 else f"b a d c b y{i // 2 % 40} d a" for i in range(800)] + ["a once b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, k = brown.word_classes(docs, brown.word_counts(docs))
+    klass = {r.h: r.klass for r in words.collect()}
+    of = lambda w: klass[int(brown.W.split(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hash.view(np.int64)[0])]
+    seen = {w for t in texts for w in t.split()}
+    x, y = ({of(w) for w in seen if w[0] == c} for c in "xy")
+    assert len(x) == len(y) == 1 and x != y and max(x | y) < k - 2 and of("once") == k - 2
+
+
 def test_exchange_finds_the_classes():
     r = np.random.default_rng(0)
     kind = np.arange(40) % 4
