@@ -125,3 +125,11 @@ def test_stored_tools(spark):
     tools = spark.createDataFrame([("b", ["e1"], "n", ["cmd"])], "block string, entries array<string>, name string, type array<string>")
     r = merge.as_stored(tools, F.lit("t")).first()
     assert (r.tool_id, r.source, r.timestamp, r.data.name, r.data.type) == ("b", ["e1"], "t", "n", ["cmd"])
+
+
+def test_counts_of_more_than_a_hundred_labels(spark, tmp_path):
+    from spindrift.plans import demos
+
+    spark.createDataFrame([(f"kind{i % 150}",) for i in range(300)], "event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    found = {r.label: r.n for r in demos.counts_zero_filled(spark, str(tmp_path)).collect()}
+    assert found == {f"kind{i}": 2 for i in range(150)} | {"nothing": 0}
