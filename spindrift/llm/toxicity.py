@@ -6,19 +6,27 @@ Each window of WINDOW words, STRIDE apart, is read in both directions; attention
 pools its states to one value, and the document's score is that of its highest
 window. All windows of all documents are scored.
 
-Training is on the driver, in numpy, by gradients written out below, on a
-bounded sample: at most SAMPLE labelled documents of each class, the first ones
-by a hash of their ids, of MAX_CHARS characters at most. A document's gradient
-goes through its highest window and a random one that is negative.
-
-Defined results: null and empty texts are one empty window; without labels of
-both classes every score is 0; a null id is never held out nor learnt from;
-repeated rows score alike; other columns are ignored. Of several labels for an
-id the highest counts.
+Training is one task, in numpy, by gradients written out below, on a bounded
+sample: at most SAMPLE labelled documents of each class, the first ones by a hash
+of their ids, whole, whatever their length. The task gets them one Arrow batch at
+a time and keeps 4 bytes a word, so the driver only ever holds the weights; a
+lost executor repeats the task with the same rows in the same order. In every
+step all windows of the step's documents are read; a document's gradient goes
+through its highest window and a random one that is negative.
+
+Defined results: null and empty texts are one empty window, when scored and when
+learnt from; without labels of both classes (an empty table of labels, too) every
+score is 0 and remove_toxic keeps every row; a null id is never held out nor
+learnt from; repeated rows score alike; of rows that share a labelled id the one
+with the least hash of its text is learnt from; of several labels for an id the
+highest counts; an empty table gives no rows. Other columns are ignored by
+score_documents and passed on by remove_toxic, whatever their names.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,10 +42,10 @@ WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 8, 8
 GRAMS = 1 << 14
 VOCABULARY = 20_000
-SAMPLE, MAX_CHARS = 2_000, 20_000
+SAMPLE = 2_000
 STEPS, BATCH, RATE, DROPPED = 300, 64, 0.01, 0.3
-#: Windows of a training document at most; scoring has no limit.
-TRAIN_WINDOWS = 64
+#: Windows that are read at once.
+AT_ONCE = 2048
 CUT = 0.3
 _F = np.float32
 
@@ -197,7 +205,7 @@ class Net:
         g["char"] = _scatter(grams, np.repeat(dx[:, WORD_DIM:] / times[:, None].astype(x.dtype), times, axis=0), GRAMS)
         return g
 
-    def score(self, data: np.ndarray, offsets: np.ndarray, at_once: int = 2048) -> np.ndarray:
+    def score(self, data: np.ndarray, offsets: np.ndarray, at_once: int = AT_ONCE) -> np.ndarray:
         """Probability for each document."""
         w = W.split(data, offsets, W.ALNUM, lower=True)
         _, one, back = np.unique(w.hash, return_index=True, return_inverse=True)
@@ -214,47 +222,94 @@ class Net:
         return _sigmoid(best)
 
 
-def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> Net:
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    w = W.split(data, offsets, W.ALNUM, lower=True)
-    names, one, back, times = np.unique(w.hash, return_index=True, return_inverse=True, return_counts=True)
+class Sample:
+    """Training documents as numbers of distinct words, gathered chunk by chunk; no text is kept."""
+
+    def __init__(self):
+        self.hashes: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
+        self.names, self.grams, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        w = W.split(data, offsets, W.ALNUM, lower=True)
+        self.hashes.append(w.hash)
+        self.lengths.append(w.counts())
+        names, one = np.unique(w.hash, return_index=True)
+        new = ~np.isin(names, self.names)
+        names, one = names[new], one[new]
+        grams, first = grams_of(data, w.start[one], w.end[one])
+        # in the order in which they came; `settled` sorts them
+        self.names, self.grams = np.r_[self.names, names], np.r_[self.grams, grams]
+        self.first = np.r_[self.first, self.first[-1] + first[1:]]
+
+    def settled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sorted names, grams, first gram of each name + 1, name of each word, first word of each document + 1)."""
+        order = np.argsort(self.names)
+        n = np.diff(self.first)[order]
+        first = np.concatenate([[0], np.cumsum(n)])
+        grams = self.grams[np.repeat(self.first[:-1][order], n) + np.arange(first[-1]) - np.repeat(first[:-1], n)]
+        names = self.names[order]
+        words = [np.searchsorted(names, h).astype(np.int32) for h in self.hashes]
+        lengths = np.concatenate([np.zeros(0, np.int64), *self.lengths])
+        return names, grams, first, np.concatenate([np.zeros(0, np.int32), *words]), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def train(sample: Sample, labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> Net:
+    names, grams, first, words, starts = sample.settled()
+    counts, step = np.diff(starts), 0
+    times = np.bincount(words, minlength=len(names))
     often = np.lexsort((names, -times))[:VOCABULARY]
     net = Net.new(np.sort(names[often[times[often] >= 3]]))
-    grams, first = grams_of(data, w.start[one], w.end[one])
     row = net.look_up(names)
     r = np.random.default_rng(seed)
     m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    counts, step = w.counts(), 0
-    while step < steps:
-        order = r.permutation(len(texts))
-        for lo in range(0, min(len(order), (steps - step) * BATCH), BATCH):
-            some = order[lo : lo + BATCH]
-            doc, begin = windows_of(counts[some])
-            lot = r.random(len(doc))
-            by = np.lexsort((lot, doc))
-            nth = np.arange(len(doc)) - np.searchsorted(doc[by], doc[by])
-            pick = by[nth < TRAIN_WINDOWS]
-            doc, begin = doc[pick], begin[pick]
-            place = begin[:, None] + np.arange(WINDOW)
-            inside = place < counts[some][doc][:, None]
-            word = back[np.where(inside, w.first[some][doc][:, None] + place, 0)]
+
+    def placed(doc, begin):
+        """(word of each place, whether it is one) of windows; any word stands where there is none."""
+        place = begin[:, None] + np.arange(WINDOW)
+        inside = place < counts[doc][:, None]
+        at = np.where(inside, starts[doc][:, None] + place, 0)
+        return words[at] if len(words) else np.zeros(at.shape, np.int64), inside
+
+    def read(x_of, doc, begin):
+        """Logits of windows, AT_ONCE at a time."""
+        out = np.zeros(len(doc), _F)
+        for lo in range(0, len(doc), AT_ONCE):
+            word, inside = placed(doc[lo : lo + AT_ONCE], begin[lo : lo + AT_ONCE])
             used, word = np.unique(word, return_inverse=True)
-            word = word.reshape(place.shape)
+            out[lo : lo + AT_ONCE] = net.forward(x_of(used)[0], word.reshape(inside.shape), inside)
+        return out
+
+    def inputs(dropped):
+        def x_of(used):
+            if not len(names):
+                return np.zeros((0, WORD_DIM + CHAR_DIM), _F), used[:0], used[:0], np.zeros(1, np.int64)
             n = np.diff(first)[used]
             g_first = np.concatenate([[0], np.cumsum(n)])
             g = grams[np.repeat(first[used], n) + np.arange(n.sum()) - np.repeat(g_first[:-1], n)]
-            g_row = np.where(r.random(len(used)) < DROPPED, 0, row[used])
-            x = net.inputs(g_row, g, g_first)
-            logit = net.forward(x, word, inside)
-            ranked = np.lexsort((-logit, doc))
-            top = ranked[np.searchsorted(doc[ranked], np.arange(len(some)))]
-            negative = np.flatnonzero(labels[some][doc] == 0)
+            g_row = np.where(dropped[used], 0, row[used])
+            return net.inputs(g_row, g, g_first), g_row, g, g_first
+
+        return x_of
+
+    while step < steps:
+        order = r.permutation(len(counts))
+        for lo in range(0, min(len(order), (steps - step) * BATCH), BATCH):
+            some = order[lo : lo + BATCH]
+            nth, begin = windows_of(counts[some])
+            doc = some[nth]
+            x_of = inputs(r.random(len(names)) < DROPPED)
+            logit = read(x_of, doc, begin)
+            ranked = np.lexsort((-logit, nth))
+            top = ranked[np.searchsorted(nth[ranked], np.arange(len(some)))]
+            negative = np.flatnonzero(labels[doc] == 0)
             extra = r.choice(negative, min(len(some), len(negative)), replace=False) if len(negative) else negative
             chosen = np.concatenate([top, extra])
-            y = labels[some][doc[chosen]].astype(_F)
-            logit, kept = net.forward(x, word[chosen], inside[chosen], keep=True)
+            y = labels[doc[chosen]].astype(_F)
+            word, inside = placed(doc[chosen], begin[chosen])
+            used, word = np.unique(word, return_inverse=True)
+            x, g_row, g, g_first = x_of(used)
+            logit, kept = net.forward(x, word.reshape(inside.shape), inside, keep=True)
             slope = ((_sigmoid(logit) - y) / len(chosen)).astype(_F)
             step += 1
             rate = RATE * (1 - (step - 1) / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -266,15 +321,37 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
     return net
 
 
+def _fit(batches: Iterable[pa.RecordBatch]):
+    """The one task that trains: rows (text, y) in, the weights out; none if a class has no documents."""
+    sample, labels = Sample(), []
+    for rows, data, offsets in W.chunks(batches):
+        sample.add(data, offsets)
+        labels.append(rows.column("y").to_numpy())
+    y = np.concatenate([np.zeros(0, np.int64), *labels])
+    if len(np.unique(y)) < 2:
+        return
+    net, out = train(sample, y), io.BytesIO()
+    np.savez(out, hashes=net.hashes, **net.p)
+    W.free()
+    yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["weights"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out, label_col: str = "toxic") -> Net | None:
     """The network of the sample; docs has doc_id and text. None if a class has no documents."""
-    known = labels.select("doc_id", F.col(label_col).alias("y")).where("y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y")).where(~held_out(F.col("doc_id")))
-    # twice as many ids as are wanted, as long texts go; never more rows than that
-    ids = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE) for y in (0, 1)]
-    found = docs.join(F.broadcast(ids[0].union(ids[1])), "doc_id").where(F.length("text").between(1, MAX_CHARS))
-    rows = [r for y in (0, 1) for r in found.where(F.col("y") == y).select("text", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
-    y = np.array([r["y"] for r in rows])
-    return train([r["text"] for r in rows], y) if len(set(y.tolist())) == 2 else None
+    known = labels.select("doc_id", F.col(label_col).alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").cast("long").alias("y")).where(~held_out(F.col("doc_id")))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # twice as many ids as are wanted, as not all need have a document; never more rows than that
+    ids = [known.where(F.col("y") == y).orderBy(*order).limit(2 * SAMPLE) for y in (0, 1)]
+    found = docs.join(F.broadcast(ids[0].union(ids[1])), "doc_id")
+    found = found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = [found.where(F.col("y") == y).orderBy(*order).limit(SAMPLE) for y in (0, 1)]
+    rows = rows[0].union(rows[1]).repartition(1).sortWithinPartitions(*order).select("text", "y")
+    weights = rows.mapInArrow(_fit, "weights binary").collect()
+    if not weights:
+        return None
+    with np.load(io.BytesIO(weights[0]["weights"])) as found:
+        p = {k: found[k] for k in found.files}
+    return Net(p.pop("hashes"), p)
 
 
 def _held(modulus: int, remainder: int):
@@ -297,13 +374,14 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def remove_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT, modulus: int = 4, remainder: int = 2) -> DataFrame:
-    """The rows of docs (doc_id, text and any others) that score below `cut`."""
+def remove_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT, modulus: int = 4, remainder: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that score below `cut`, each with all its columns; the defined results are those of the module."""
     spark = prepare(docs.sparkSession)
-    net = spark.sparkContext.broadcast(fit(docs.select("doc_id", "text"), labels, _held(modulus, remainder)))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    net = spark.sparkContext.broadcast(fit(plain, labels, _held(modulus, remainder)))
 
     def clean(batches):
-        for rows, data, offsets in W.chunks(batches, limit=1_000_000):
+        for rows, data, offsets in W.chunks(batches, text_col, limit=1_000_000):
             yield rows.filter(pa.array(net.value.score(data, offsets) < cut)) if net.value else rows
 
     return docs.mapInArrow(clean, docs.schema)

@@ -164,3 +164,85 @@ def test_toxic_words_are_learnt(spark):
     assert sum(p == y for p, y in held) / len(held) > 0.9
     assert toxicity.remove_toxic(docs, known).columns == docs.columns
     assert {x.score for x in toxicity.score_documents(docs, known.where("toxic = 0")).collect()} == {0.0}
+
+
+def _plain_score(net, text):
+    """Probability of one text, a word and a gate at a time, from the weights alone."""
+    sig = lambda x: 1 / (1 + math.exp(-max(-30, min(30, x))))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOW))
+    size, x = toxicity.HIDDEN, []
+    for w in words:
+        raw = w.encode()
+        h = int(brown.W.hash_of(w))
+        row = net.hashes.tolist().index(h) + 1 if h in net.hashes.tolist() else 0
+        letters = [1, *raw, 2]
+        buckets = []
+        for k in (3, 4):
+            for a in range(len(letters) - k + 1):
+                g = k
+                for c in letters[a : a + k]:
+                    g = (g * 257 + c) % (1 << 64)
+                buckets.append(int(brown.W.mix(np.array([g], np.uint64))[0]) % toxicity.GRAMS)
+        x.append([*p["word"][row], *np.mean([p["char"][b] for b in buckets], axis=0)])
+    best, begin = -math.inf, 0
+    while True:
+        part = x[begin : begin + toxicity.WINDOW]
+        states = {}
+        for d, order in (("f", range(len(part))), ("b", reversed(range(len(part))))):
+            h = [0.0] * size
+            for t in order:
+                gate = [sum(part[t][i] * p[f"w{d}"][i, j] for i in range(len(part[t]))) + p[f"c{d}"][j] for j in range(3 * size)]
+                z, r = ([sig(gate[o + j] + sum(h[i] * p[f"u{d}"][i, o + j] for i in range(size))) for j in range(size)] for o in (0, size))
+                n = [math.tanh(gate[2 * size + j] + sum(r[i] * h[i] * p[f"u{d}"][i, 2 * size + j] for i in range(size))) for j in range(size)]
+                h = [n[j] + z[j] * (h[j] - n[j]) for j in range(size)]
+                states[d, t] = h
+        e = [math.exp(sum(math.tanh(sum(v * p["a"][i, j] for i, v in enumerate(states["f", t] + states["b", t])) + p["ac"][j]) * p["v"][j] for j in range(toxicity.ATTENTION))) for t in range(len(part))]
+        pooled = [sum(e[t] * (states["f", t] + states["b", t])[i] for t in range(len(part))) / sum(e) for i in range(2 * size)] if part else [0.0] * (2 * size)
+        best = max(best, sum(v * o for v, o in zip(pooled, p["o"], strict=True)) + p["oc"][0])
+        if begin + toxicity.WINDOW >= len(x):
+            return sig(best)
+        begin += toxicity.STRIDE
+
+
+def _sample(texts):
+    sample = toxicity.Sample()
+    for t in texts:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        sample.add(raw, np.array([0, len(raw)]))
+    return sample
+
+
+def test_scores_against_a_plain_recomputation():
+    r = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 60, n)) for n in (3, 31, 32, 33, 70, 150, 40, 9)] + ["Ünï CODE x 漢字", "", None]
+    net = toxicity.train(_sample(texts), np.arange(len(texts)) % 2, steps=6)
+    assert len(net.hashes) > 5
+    raw = [(t or "").encode() for t in [*texts, "never seen words", "w1 w2 never"]]
+    got = net.score(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in raw])]))
+    assert got == pytest.approx([_plain_score(net, b.decode()) for b in raw], abs=1e-5)
+
+
+def test_long_texts_are_learnt_from_whole(spark):
+    """Every toxic text is long, with its one bad word anywhere in it; empty and null ones are learnt from too."""
+    r = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(120):
+        y = i % 2
+        w = [f"w{k}" for k in r.integers(0, 200, 4500 if y else 60)]
+        if y:
+            w[r.integers(len(w))] = "grumfle"
+        rows.append((i, " ".join(w)))
+        labels.append((i, y))
+    rows += [(1000, ""), (1001, None), (3, "another row of an id")]
+    labels += [(1000, 0), (1001, 0), (None, 1), (2000, 1)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = [x for x in toxicity.score_documents(docs, known).collect() if x.held_out and x.doc_id < 120]
+    assert sum(x.predicted == x.doc_id % 2 for x in found) / len(found) > 0.9
+
+
+def test_no_documents_or_labels(spark, none):
+    known = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.score_documents(none, known).count() == 0
+    assert toxicity.remove_toxic(none, known).count() == 0
+    assert licenses.scan_licenses(none).count() == 0
