@@ -17,12 +17,16 @@ looked up on their own, so that no repeated window is lost between factors.
 
 Anchors that a sample shows to be frequent (text that a large share of documents
 has) are dealt out by whole windows instead; that decides where rows meet, never
-what is found.
-
-Defined results: null text has no words; null ids count as the smallest id; rows
-with one id share their positions, so they don't repeat one another; ties can't
-occur otherwise. dedup_substrings gives rows that repeat an id keys of their own,
-so there they do. Other columns are kept by dedup_substrings and never read.
+what is found. The MOST_FREQUENT most frequent ones are, so any other anchor has
+at most a MOST_FREQUENT-th of the rows, far less than a task's share.
+
+Defined results: null text has no words, and stays null in dedup_substrings; an
+empty table gives no rows; null ids count as the smallest id and come back as
+null. Every row is a document of its own: rows that share an id (or have none)
+come in the order of their texts' hashes, equal texts in the order of the input's
+rows, and the later ones repeat the earlier ones. Texts have any length; a text is
+never cut, so a task holds a few times the longest one. Other columns, whatever
+their names, are kept by dedup_substrings and never read.
 """
 
 from __future__ import annotations
@@ -333,7 +337,7 @@ def frequent_anchors(packed: DataFrame):
 
 
 def _found(docs: DataFrame, with_text: bool) -> DataFrame:
-    """Results for docs (doc_id, text, extra)."""
+    """Results for docs (doc_id, text, extra), each id once."""
     extra = docs.schema["extra"].dataType.simpleString()
     # blocks are cut once, and what they found is written: a second cut could end them at other documents
     packed = materialise(docs.mapInArrow(_packed, _PACKED.format(extra=extra)))
@@ -342,27 +346,38 @@ def _found(docs: DataFrame, with_text: bool) -> DataFrame:
     met = rows.mapInArrow(_anchor_rows(shared), _ANCHOR_ROWS).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
     repeats = met.mapInArrow(_repeats, _FACTORS).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
     found = packed.join(repeats, "doc_id", "left")
-    return found.mapInArrow(_cut(with_text), _CUT.format(extra=extra)).withColumn("doc_id", F.nullif("doc_id", F.lit(_LEAST_ID)))
+    return found.mapInArrow(_cut(with_text), _CUT.format(extra=extra))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text (null unless with_text) and factors of each row."""
+def _keyed(rows: DataFrame) -> DataFrame:
+    """rows (key, doc_id, text, ...) with a key for each, in the order of ids: the id itself where no two rows share one."""
+    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows.withColumn("key", F.col("doc_id"))
+    # an id that very many rows share is cut up by text and row, so no range is large
+    rows = rows.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange("doc_id", "_text", "_row").sortWithinPartitions("doc_id", "_text", "_row").drop("_text", "_row")
+    return materialise(rows.withColumn("key", F.monotonically_increasing_id()))
+
+
+def _documents(docs: DataFrame, id_col: str, text_col: str, extra) -> DataFrame:
+    """(doc_id, text, extra (id, none, others)) of docs: doc_id is the row's key, extra.id its id, extra.none whether its text is null."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).alias("extra"))
-    return _found(docs, with_text).drop("extra")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), extra.alias("extra"))
+    return _keyed(rows).select(F.col("key").alias("doc_id"), "text", F.struct(F.nullif("doc_id", F.lit(_LEAST_ID)).alias("id"), F.col("text").isNull().alias("none"), F.col("extra").alias("others")).alias("extra"))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256, kept_text (null unless with_text) and factors of each row; ref_doc is an id, or the row's number in the order of ids where ids are shared."""
+    found = _found(_documents(docs, id_col, text_col, F.lit(0)), with_text)
+    return found.withColumn("doc_id", F.col("extra.id")).drop("extra")
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """docs without their repeated passages; chars_col, if given, has the text's new length."""
-    prepare(docs.sparkSession)
     others = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("extra"))
-    if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
-        # keys in the order of ids, one for each row
-        ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-        rows = materialise(ordered.withColumn("doc_id", F.monotonically_increasing_id()))
-    found = _found(rows, True)
-    back = {c: F.col(f"extra.c{i}") for i, c in enumerate(others)}
+    found = _found(_documents(docs, id_col, text_col, F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)))), True)
+    back = {c: F.col(f"extra.others.c{i}") for i, c in enumerate(others)}
+    back[text_col] = F.when(~F.col("extra.none"), F.col("kept_text"))
     if chars_col:
         back[chars_col] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(back[chars_col]).cast(docs.schema[chars_col].dataType)
-    return found.select(*((F.col("kept_text") if c == text_col else back[c]).alias(c) for c in docs.columns))
+    return found.select(*(back[c].alias(c) for c in docs.columns))
