@@ -17,7 +17,9 @@ similar pairs are missed by orders less.
 Defined results: words are runs of [^ \\t\\n\\v\\f\\r]; a text of 1 to SHINGLE - 1
 words is one shingle; null and empty texts link with nothing, not with each
 other; a null id counts as the smallest one and comes back as null; rows that
-repeat an id and its text are copies and link. Other columns are ignored.
+share an id are documents each for itself, and copies link; an empty table gives
+no rows. Texts have any length; a text is never cut. Other columns are ignored by
+near_duplicates and passed on by keep_one, whatever their names.
 """
 
 from __future__ import annotations
@@ -221,42 +223,50 @@ def _verified(batches):
             )
 
 
+#: Ids of documents to verify that are broadcast (8 bytes each); more of them are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_class (least id with the same words), class_id (least id of the near-duplicate group), n_links of each row."""
     prepare(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialise(docs.mapInArrow(_signed, _SIGNED))
     member = signed.where("some").select("doc_id", "hi", "lo")
-    # ids may repeat with other texts, so classes go by a key of their own
-    classes = materialise(member.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).withColumn("key", F.monotonically_increasing_id()))
-    # one signature for each class
-    named = classes.select("hi", "lo", F.col("rep").alias("doc_id"), "key")
-    reps = signed.where("some").join(named, ["hi", "lo", "doc_id"]).dropDuplicates(["key"])
-    reps = materialise(reps.select(F.col("key").alias("doc_id"), "bands", "low"))
+    # ids may repeat with other texts, so classes go by a key of their own; signatures of one class are equal
+    first = F.min_by(F.struct("doc_id", "bands", "low"), "doc_id").alias("first")
+    classes = materialise(signed.where("some").groupBy("hi", "lo").agg(first, F.count("*").alias("copies")).withColumn("key", F.monotonically_increasing_id()))
+    reps = classes.select(F.col("key").alias("doc_id"), "first.bands", "first.low")
+    classes = classes.select("hi", "lo", F.col("first.doc_id").alias("rep"), "copies", "key")
     band = reps.select("doc_id", F.explode("bands").alias("band"))
-    full = band.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
-    met = band.join(full, "band").join(reps.select("doc_id", "low"), "doc_id")
+    full = materialise(band.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"))
+    met = blocks.joined(band, full, ["band"], "c").join(reps.select("doc_id", "low"), "doc_id")
     edges = blocks.dealt(met, "band", "doc_id", "c", BUCKET).mapInArrow(_bucket_pairs, "a long, b long")
     groups = materialise(components(edges, "a", "b"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("c"))
     wanted = groups.join(sizes, "component").join(classes, groups.vertex == classes.key).select("component", "c", "copies", "hi", "lo", F.col("rep").alias("doc_id"), "key")
-    texts = docs.mapInArrow(_packed, "doc_id long, hi long, lo long, packed binary").join(wanted, ["doc_id", "hi", "lo"]).drop("hi", "lo", "doc_id").withColumnRenamed("key", "doc_id")
+    wanted = materialise(wanted)
+    texts = docs
+    if wanted.count() <= BROADCAST_IDS:  # only texts that may be wanted are compressed and shuffled
+        texts = docs.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    packed = texts.mapInArrow(_packed, "doc_id long, hi long, lo long, packed binary")
+    texts = packed.join(wanted, ["doc_id", "hi", "lo"]).drop("hi", "lo", "doc_id").withColumnRenamed("key", "doc_id")
     found = materialise(blocks.dealt(texts, "component", "doc_id", "c", GROUP).mapInArrow(_verified, "a long, b long, n long"))
     linked = materialise(components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component"))
     links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
     least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
     linked = linked.join(least, "component").drop("component")
     whole = materialise(classes.join(linked, "key", "left").join(links, "key", "left").select("hi", "lo", "rep", "copies", F.coalesce("least", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
-    rows = member.join(whole, ["hi", "lo"]).select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
+    rows = blocks.joined(member, whole, ["hi", "lo"], "copies").select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
     alone = signed.where("NOT some").select("doc_id", F.col("doc_id").alias("text_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     null = lambda c: F.nullif(F.col(c), F.lit(LEAST_ID)).alias(c)
     return rows.union(alone).select(null("doc_id"), null("text_class"), null("class_id"), "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each near-duplicate group: the one with the least id, of rows that repeat it the one with the least text. Rows are told apart by a key of their own, not by their ids."""
-    rows = materialise(docs.withColumn("__near_row", F.monotonically_increasing_id()))
-    found = near_duplicates(rows, "__near_row", text_col).select(F.col("doc_id").alias("__near_row"), "class_id")
-    order = F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("id"), F.xxhash64(text_col).alias("text"), F.col("__near_row").alias("row"))
-    first = rows.select("__near_row", order.alias("first")).join(found, "__near_row").groupBy("class_id").agg(F.min("first").alias("first"))
-    return rows.join(first.select(F.col("first.row").alias("__near_row")), "__near_row", "left_semi").select(docs.columns)
+    """One row of each near-duplicate group: the one with the least id (null before all), of those the one with the least hash of its text, of those the first. Rows are told apart by a key of their own, so every row without a near duplicate stays, whatever its id."""
+    order = F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("id"), F.xxhash64(text_col).alias("text"))
+    rows = materialise(docs.select(F.struct(*docs.columns).alias("doc"), order.alias("rank"), F.monotonically_increasing_id().alias("row")))
+    found = near_duplicates(rows.select("row", F.col("doc").getField(text_col).alias("text")), "row").select(F.col("doc_id").alias("row"), "class_id")
+    first = rows.select("row", "rank").join(found, "row").groupBy("class_id").agg(F.min(F.struct("rank", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select("doc.*")

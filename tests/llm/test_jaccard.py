@@ -89,3 +89,22 @@ def test_empty(none):
 def test_pruning_bounds_rise():
     least = least_matches()
     assert least == sorted(least) and least[-1] > 0.6 * 256
+
+
+def test_crowded_keys_and_many_ids_change_nothing(spark, docs, texts, monkeypatch):
+    from spindrift.llm import blocks, jaccard
+
+    monkeypatch.setattr(blocks, "CROWDED", 2)
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
+    found = Counter((r.doc_id, r.n_links, r.class_id) for r in near_duplicates(docs).collect())
+    assert found == brute(texts)
+
+
+def test_helper_names_may_be_taken(spark):
+    rows = [(1, "a b c d e f", 5, 6, "x", 8), (2, "a b c d e f", 1, 2, "y", 4), (None, None, 1, 2, "y", 4), (None, None, 1, 2, "y", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, rank int, doc string, class_id int")
+    assert Counter(map(tuple, keep_one(df).collect())) == Counter([rows[0], *rows[2:]])
+
+
+def test_nothing_to_keep(none):
+    assert keep_one(none).count() == 0
