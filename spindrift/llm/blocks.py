@@ -36,13 +36,13 @@ def joined(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> Da
     return rows.join(crowded, keys).unionByName(rest)
 
 
-def dealt(rows: DataFrame, key: str, member: str, count: str, size: int) -> DataFrame:
-    """rows with (lo, hi, side): the two blocks of the task, and the row's own one; gathered and sorted by (key, lo, hi)."""
+def dealt(rows: DataFrame, key: str, member: str, count: str, size: int, by: str | None = None) -> DataFrame:
+    """rows with (lo, hi, side): the two blocks of the task, and the row's own one; gathered and sorted by (key, lo, hi), inside by `by` and member."""
     blocks = F.ceil(F.col(count) / size).cast("int")
     rows = rows.withColumn("side", F.pmod(F.xxhash64(member, F.lit("block")), F.greatest(blocks, F.lit(1))).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1)))
     rows = rows.withColumns({"lo": F.least("side", "_other"), "hi": F.greatest("side", "_other")}).drop("_other", count)
-    return rows.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi", member)
+    return rows.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi", *([by] if by else []), member)
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str], least_rows: int = 4_000, least_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:

@@ -1,23 +1,29 @@
-"""Near-duplicate vectors by collision counting over one-dimensional projections.
+"""Near-duplicate vectors by collision counting over sorted one-dimensional projections.
 
 Every vector has a coordinate on each of many random directions. Two vectors
-collide on a direction if one lies in the window around the other. Pairs at the
-threshold collide on a known share of directions, so the count that a pair must
-reach is set for a wanted recall (LOST is the share of pairs at the threshold
-that it may lose); pairs that reach it are verified by their cosine in double
-precision.
-
-Which pairs are counted at all: the sorted projections are cut at zero, and a
-table is the cell of `bits` of them. bits grows with the logarithm of the number
-of vectors, so that a cell holds few unrelated vectors, and the number of tables
-follows from bits, the threshold and MISSED. A pair that meets in several cells
-counts in the first. Equal vectors are one class, and a crowded cell is dealt
-out in blocks.
+collide on a direction if one lies in the window around the other, HALF_WINDOW
+deviations of a pair at the threshold to each side.
+
+Candidates: each of `tables` directions is sorted, and every vector is the query
+of a window centred on its coordinate. A window on one direction alone holds a
+fixed share of all vectors, whatever the threshold, so that scanning it would be
+quadratic; so the sorted order of a table is cut into cells by the signs of
+`bits` further projections, bits growing with the logarithm of the number of
+vectors, and a window is scanned inside its cell. The number of tables follows
+from bits, the window, the threshold and MISSED.
+
+Counting: of each pair so found, the collisions on DIRECTIONS further directions
+are counted, and pairs that reach the needed count are verified by their cosine
+in double precision. The count is set so that a pair at the threshold is lost
+with LOST at most; with MISSED that calibrates the whole recall. A pair that
+meets in several tables counts in the first. Equal vectors are one class, and a
+crowded cell is dealt out in blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
-components link with nothing; vectors of different lengths don't link; a null
-id counts as the smallest one and comes back as null; rows that repeat an id and
-its vector are copies and link. Other columns are ignored.
+components link with nothing; vectors of different lengths don't link; a null id
+counts as the smallest one and comes back as null; rows that share an id are
+vectors each for itself, and copies link; an empty table gives no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +45,10 @@ from .words import mix
 THRESHOLD = 0.9
 #: Share of pairs at the threshold that no table brings together; that the count loses.
 MISSED, LOST = 0.01, 0.001
-#: Directions whose collisions are counted, and half a window in deviations of a pair at the threshold.
+#: Directions whose collisions are counted, and half a window there in deviations of a pair at the threshold.
 DIRECTIONS, HALF_WINDOW = 64, 1.5
+#: Half of the window that is scanned in a table, in the same deviations.
+SCANNED = 2.0
 BLOCK = 512
 _LEAST_ID = -(1 << 63)
 
@@ -48,7 +56,7 @@ _LEAST_ID = -(1 << 63)
 def plan(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     """(bits of a cell, tables) for n vectors."""
     bits = min(60, max(8, math.ceil(math.log2(max(n, 2))) + 2))
-    together = (1 - math.acos(threshold) / math.pi) ** bits
+    together = (1 - math.acos(threshold) / math.pi) ** bits * math.erf(SCANNED / math.sqrt(2))
     return bits, math.ceil(math.log(MISSED) / math.log(1 - together))
 
 
@@ -90,56 +98,81 @@ def _codes(v: np.ndarray, bits: int, tables: int) -> np.ndarray:
 
 
 def _signed(bits: int, tables: int):
+    """Map step over (key, v): the cell and the sorted coordinate of each vector in each table."""
+
     def signed(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.zeros((batch.num_rows, tables), np.uint64)
+            keys, at = np.zeros((batch.num_rows, tables), np.uint64), np.zeros((batch.num_rows, tables), np.float32)
             for rows, v in _matrix(batch.column("v")):
-                for at in range(0, len(rows), 2000):
-                    part = _codes(v[at : at + 2000], bits, tables)
-                    keys[rows[at : at + 2000]] = mix(part + mix(np.arange(tables, dtype=np.uint64) + np.uint64(v.shape[1] << 20)))
-            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * tables
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64)))], ["vec_id", "cells"])
+                for lo in range(0, len(rows), 2000):
+                    part, some = v[lo : lo + 2000], rows[lo : lo + 2000]
+                    keys[some] = mix(_codes(part, bits, tables) + mix(np.arange(tables, dtype=np.uint64) + np.uint64(v.shape[1] << 20)))
+                    at[some] = part @ directions(v.shape[1], tables, 3)
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * tables)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1).view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(at.reshape(-1)))], ["key", "cells", "places"]
+            )
 
     return signed
 
 
+def windows(first: np.ndarray, place: np.ndarray, half: float, at_once: int = 100_000):
+    """(i, j), i before j, of the entries of each sorted run that lie in one another's window, about at_once at a time."""
+    total = len(place)
+    run = np.zeros(total, np.int64)
+    run[first[1:]] = 1
+    run = np.cumsum(run)
+    # one order for all runs: each lies beyond the one before it
+    span = (place.max() - place.min()) + 4 * half + 1
+    line = run * span + (place - place.min())
+    n = np.searchsorted(line, line + half, side="right") - np.arange(total) - 1
+    upto, lo = np.cumsum(n), 0
+    while lo < total:
+        base = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, base + at_once, side="right")))
+        m = n[lo:hi]
+        if m.sum():
+            i = np.repeat(np.arange(lo, hi), m)
+            yield i, i + 1 + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        lo = hi
+
+
 def _linked(bits: int, tables: int, threshold: float):
     """(a, b) forest edges of each run of cells, and (a, null, n) numbers of linked vectors."""
     half, needed = needed_collisions(threshold)
+    scanned = SCANNED * math.sqrt(2 - 2 * threshold) + 1e-4  # coordinates travel in single precision
     keys = ["cell", "lo", "hi"]
 
     def linked(batches):
         for batch in blocks.groups(batches, keys):
-            ids, side = batch.column("vec_id").to_numpy(), batch.column("side").to_numpy()
+            ids, side = batch.column("key").to_numpy(), batch.column("side").to_numpy()
             table, copies = batch.column("table").to_numpy(), batch.column("copies").to_numpy()
             across = batch.column("lo").to_numpy() != batch.column("hi").to_numpy()
             dims = np.diff(batch.column("v").offsets.to_numpy())
-            width = int(dims.max())
-            v = np.zeros((len(ids), width))
-            codes, places = np.zeros((len(ids), tables), np.uint64), np.zeros((len(ids), DIRECTIONS))
+            v, places = np.zeros((len(ids), int(dims.max()))), np.zeros((len(ids), DIRECTIONS))
             for rows, part in _matrix(batch.column("v")):
-                v[rows, : part.shape[1]] = part
-                codes[rows], places[rows] = _codes(part, bits, tables), part @ directions(part.shape[1], DIRECTIONS, 2)
-            edges, a, n = [], [], []
-            for i, j in blocks.pairs(blocks.starts(batch, keys), len(ids), 100_000):
+                v[rows, : part.shape[1]], places[rows] = part, part @ directions(part.shape[1], DIRECTIONS, 2)
+            met = []
+            for i, j in windows(blocks.starts(batch, keys), batch.column("place").to_numpy().astype(np.float64), scanned):
                 ok = (~across[i] | (side[i] != side[j])) & (dims[i] == dims[j])
                 i, j = i[ok], j[ok]
                 ok = (np.abs(places[i] - places[j]) <= half).sum(1) >= needed
                 i, j = i[ok], j[ok]
                 ok = np.einsum("ij,ij->i", v[i], v[j]) >= threshold
                 i, j = i[ok], j[ok]
-                earlier = ((codes[i] == codes[j]) & (np.arange(tables)[None, :] < table[i][:, None])).any(1)
-                i, j = i[~earlier], j[~earlier]
-                edges.append(blocks.forest(ids[i], ids[j]))
-                a += [ids[i], ids[j]]
-                n += [copies[j], copies[i]]
-            if not a:
+                ok = ~_met_before(v, dims, table, i, j, bits, tables, scanned)
+                i, j = i[ok], j[ok]
+                if len(i):
+                    x, y = blocks.forest(ids[i], ids[j])
+                    linked_rows, back = np.unique(np.r_[i, j], return_inverse=True)
+                    met.append((x, y, linked_rows, np.bincount(back, np.r_[copies[j], copies[i]])))
+            if not met:
                 continue
-            x, y = blocks.forest(np.concatenate([e[0] for e in edges]), np.concatenate([e[1] for e in edges]))
-            a, back = np.unique(np.concatenate(a), return_inverse=True)
-            n = np.bincount(back, np.concatenate(n), len(a)).astype(np.int64)
+            x, y = blocks.forest(*(np.concatenate([m[k] for m in met]) for k in (0, 1)))
+            a, back = np.unique(ids[np.concatenate([m[2] for m in met])], return_inverse=True)
+            n = np.bincount(back, np.concatenate([m[3] for m in met]), len(a)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[x, a]), pa.array(np.r_[y, a], mask=np.r_[np.zeros(len(x), bool), np.ones(len(a), bool)]), pa.array(np.r_[np.zeros(len(x), np.int64), n])], ["a", "b", "n"]
             )
@@ -147,29 +180,50 @@ def _linked(bits: int, tables: int, threshold: float):
     return linked
 
 
+def _met_before(v, dims, table, i, j, bits: int, tables: int, scanned: float) -> np.ndarray:
+    """Which pairs (i, j) share a cell and a window of an earlier table too; by the cells and coordinates that _signed gave them."""
+    out = np.zeros(len(i), bool)
+    for d in np.unique(dims[i]):
+        of = np.flatnonzero(dims[i] == d)
+        rows, back = np.unique(np.r_[i[of], j[of]], return_inverse=True)
+        x, y = back[: len(of)], back[len(of) :]
+        for lo in range(0, len(of), 20_000):
+            s = slice(lo, lo + 20_000)
+            named, at = np.unique(np.r_[x[s], y[s]], return_inverse=True)
+            part = v[rows[named], :d]
+            codes, places = _codes(part, bits, tables), (part @ directions(int(d), tables, 3)).astype(np.float32).astype(np.float64)
+            a, b = at[: len(at) // 2], at[len(at) // 2 :]
+            same = (codes[a] == codes[b]) & (np.abs(places[a] - places[b]) <= scanned)
+            out[of[s]] = (same & (np.arange(tables)[None, :] < table[i[of[s]]][:, None])).any(1)
+    return out
+
+
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row."""
-    spark = prepare(rows.sparkSession)
+    prepare(rows.sparkSession)
     kind = rows.schema[vector_col].dataType.simpleString()
     v = F.col(vector_col) if kind == "array<float>" else F.col(vector_col).cast("array<double>")  # as narrow as it comes; sums are in double precision
     rows = rows.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST_ID)).alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.select("vec_id", "v", F.coalesce(finite, F.lit(False)).alias("some"), F.xxhash64("v").alias("h1"), F.xxhash64("v", F.lit(1)).alias("h2"))
     member = rows.where("some").select("vec_id", "h1", "h2")
-    classes = materialise(member.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    # repeated rows have one vector here
-    reps = rows.where("some").join(classes, ["h1", "h2"]).where("vec_id = rep").dropDuplicates(["vec_id", "h1", "h2"]).select("vec_id", "copies", F.col("v"))
-    reps = materialise(reps)
+    # ids may be shared by other vectors, so classes go by a key of their own
+    classes = rows.where("some").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.any_value("v").alias("v"), F.count("*").alias("copies"))
+    classes = materialise(classes.withColumn("key", F.monotonically_increasing_id()))
+    reps = classes.select("key", "copies", "v")
     bits, tables = plan(reps.count(), threshold)
-    signed = reps.select("vec_id", "v").mapInArrow(_signed(bits, tables), "vec_id long, cells array<long>")
-    cells = materialise(signed).select("vec_id", F.posexplode("cells").alias("table", "cell"))
-    full = cells.groupBy("cell").agg(F.count("*").alias("c")).where("c > 1")
-    met = cells.join(full, "cell").join(reps, "vec_id")
-    found = materialise(blocks.dealt(met, "cell", "vec_id", "c", BLOCK).mapInArrow(_linked(bits, tables, threshold), "a long, b long, n long"))
-    linked = components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("rep"), "component")
-    links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    whole = classes.join(linked, "rep", "left").join(links, "rep", "left").select("h1", "h2", "copies", F.coalesce("component", "rep").alias("component_id"), F.coalesce("others", F.lit(0)).alias("others"))
-    found = member.join(whole, ["h1", "h2"]).select("vec_id", (F.col("others") + F.col("copies") - 1).alias("n_links"), "component_id")
+    signed = materialise(reps.select("key", "v").mapInArrow(_signed(bits, tables), "key long, cells array<long>, places array<float>"))
+    cells = signed.select("key", F.posexplode(F.arrays_zip("cells", "places")).alias("table", "x")).select("key", "table", F.col("x.cells").alias("cell"), F.col("x.places").alias("place"))
+    full = materialise(cells.groupBy("cell").agg(F.count("*").alias("c")).where("c > 1"))
+    met = blocks.joined(cells, full, ["cell"], "c").join(reps, "key")
+    found = materialise(blocks.dealt(met, "cell", "key", "c", BLOCK, by="place").mapInArrow(_linked(bits, tables, threshold), "a long, b long, n long"))
+    linked = components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component")
+    least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
+    linked = linked.join(least, "component").drop("component")
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
+    whole = classes.select("key", "h1", "h2", "rep", "copies").join(linked, "key", "left").join(links, "key", "left")
+    whole = materialise(whole.select("h1", "h2", "copies", F.coalesce("least", "rep").alias("component_id"), F.coalesce("others", F.lit(0)).alias("others")))
+    found = blocks.joined(member, whole, ["h1", "h2"], "copies").select("vec_id", (F.col("others") + F.col("copies") - 1).alias("n_links"), "component_id")
     found = found.union(rows.where("NOT some").select("vec_id", F.lit(0).cast("long"), F.col("vec_id")))
     null = lambda c: F.nullif(F.col(c), F.lit(_LEAST_ID)).alias(c)
     return found.select(null("vec_id"), "n_links", null("component_id"), (F.col("vec_id") == F.col("component_id")).alias("kept"))
