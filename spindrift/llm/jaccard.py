@@ -37,6 +37,7 @@ from spindrift.operators.components import components
 
 from . import blocks
 from . import words as W
+from .joins import joined
 from .runtime import materialise, prepare
 
 SHINGLE = 5
@@ -240,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = classes.select("hi", "lo", F.col("first.doc_id").alias("rep"), "copies", "key")
     band = reps.select("doc_id", F.explode("bands").alias("band"))
     full = materialise(band.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"))
-    met = blocks.joined(band, full, ["band"], "c").join(reps.select("doc_id", "low"), "doc_id")
+    met = joined(band, full, ["band"], "c").join(reps.select("doc_id", "low"), "doc_id")
     edges = blocks.dealt(met, "band", "doc_id", "c", BUCKET).mapInArrow(_bucket_pairs, "a long, b long")
     groups = materialise(components(edges, "a", "b"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("c"))
@@ -257,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
     linked = linked.join(least, "component").drop("component")
     whole = materialise(classes.join(linked, "key", "left").join(links, "key", "left").select("hi", "lo", "rep", "copies", F.coalesce("least", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
-    rows = blocks.joined(member, whole, ["hi", "lo"], "copies").select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
+    rows = joined(member, whole, ["hi", "lo"], "copies").select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
     alone = signed.where("NOT some").select("doc_id", F.col("doc_id").alias("text_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     null = lambda c: F.nullif(F.col(c), F.lit(LEAST_ID)).alias(c)
     return rows.union(alone).select(null("doc_id"), null("text_class"), null("class_id"), "n_links")

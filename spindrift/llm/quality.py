@@ -2,18 +2,19 @@
 
 One pass over the texts gives a row of counts and the hashes of the normalised
 lines (lower case, single spaces) for each document. A line is frequent on its
-host if the distinct texts that hold it are more than MIN_DOCUMENTS and more
-than SHARE of the host's distinct texts; copies of a text count once, so a group
-of copies does not make its own lines frequent. Frequent lines are removed. A
-document is rejected if the base rules fail, or if fewer than MIN_WORDS words
-are left of it.
-
-Counting goes by (host, line, text) first, so that neither a large host nor a
-line that every document has meets in one task.
-
-Defined results: null text has no words and fails; documents without a host form
-one host; null ids are kept; repeated rows are judged alike, each for itself.
-Other columns are ignored by judge() and passed on by keep_good().
+host if more than MIN_DOCUMENTS distinct documents hold it, and more than SHARE
+of the host's documents. Frequent lines are removed. A document is rejected if the
+base rules fail, or if fewer than MIN_WORDS words are left of it.
+
+Counts are summed before they are shuffled, and frequent lines that very many
+documents have are joined by broadcast, so that neither a large host nor a line
+that every document has meets in one task.
+
+Defined results: every row is a document, whatever its id; a line that a document
+has twice counts once; null text has no words and fails; documents without a host
+form one host; null ids are kept; repeated rows are judged alike, each for itself;
+an empty table gives no rows. Texts have any length. Other columns are ignored by
+judge() and passed on by keep_good(), whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import joined
 from .runtime import materialise
 
 MIN_WORDS = 10
@@ -91,20 +93,20 @@ def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
 
 
 def frequent_lines(measures: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE) -> DataFrame:
-    """(host, h, texts): the lines above the limits."""
-    hosts = measures.groupBy("host", "text_hash").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("host_texts"))
-    lines = measures.select("host", "text_hash", F.explode("lines.h").alias("h")).groupBy("host", "h", "text_hash").agg(F.lit(1).alias("one"))
-    counted = lines.groupBy("host", "h").agg(F.count("*").alias("texts")).where(F.col("texts") > min_documents)
-    return counted.join(hosts, "host").where(F.col("texts") > share * F.col("host_texts")).select("host", "h", "texts")
+    """(host, h, documents): the lines above the limits."""
+    hosts = measures.groupBy("host").agg(F.count("*").alias("host_documents"))
+    lines = measures.select("host", F.explode(F.array_distinct("lines.h")).alias("h"))
+    counted = lines.groupBy("host", "h").agg(F.count("*").alias("documents")).where(F.col("documents") > min_documents)
+    return counted.join(hosts, "host").where(F.col("documents") > share * F.col("host_documents")).select("host", "h", "documents")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_documents: int = MIN_DOCUMENTS, share: float = SHARE) -> DataFrame:
     """doc_id, host, counts, n_line_words (words in frequent lines), base_failed, kept, and frequent (hashes of the lines to remove, or null)."""
     measures = materialise(measured(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
-    common = frequent_lines(measures, min_documents, share)
+    common = materialise(frequent_lines(measures, min_documents, share))
     lines = measures.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.n")
-    hit = lines.groupBy("row", "host", "h").agg(F.sum("n").alias("n")).join(common.select("host", "h"), ["host", "h"])
-    removed = hit.groupBy("row").agg(F.sum("n").cast("long").alias("n_line_words"), F.collect_list("h").alias("frequent"))
+    hit = joined(lines, common, ["host", "h"], "documents")
+    removed = hit.groupBy("row").agg(F.sum("n").cast("long").alias("n_line_words"), F.collect_set("h").alias("frequent"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
     line_words = F.coalesce("n_line_words", F.lit(0).cast("long"))
     return measures.drop("lines").join(removed, "row", "left").select(
@@ -115,13 +117,20 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
     """The rows of docs that are kept, without their frequent lines; chars_col, if given, has the text's new length."""
-    verdicts = judge(docs, id_col, text_col, host_col).where("kept")
-    # a verdict depends on host and text alone, so rows that repeat have one
-    verdicts = verdicts.select(F.col("doc_id").alias("__quality_id"), F.col("host").alias("__quality_host"), F.col("text_hash").alias("__quality_hash"), F.col("frequent").alias("__quality_frequent")).dropDuplicates(["__quality_id", "__quality_host", "__quality_hash"])
-    same = docs[id_col].eqNullSafe(F.col("__quality_id")) & (F.coalesce(docs[host_col].cast("string"), F.lit("")) == F.col("__quality_host")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("__quality_hash"))
-    lines = F.filter(F.split(text_col, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("__quality_frequent", F.xxhash64(normalised(x)))))
-    text = F.when(F.col("__quality_frequent").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
-    out = docs.join(verdicts, same).withColumn(text_col, text)
+    # a verdict depends on host and text alone, so rows that repeat have one; the id only spreads the rows
+    keys = ["id", "host", "hash"]
+    verdicts = judge(docs, id_col, text_col, host_col).where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "host", F.col("text_hash").alias("hash"), "frequent").dropDuplicates(keys)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
+        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("hash"),
+    )
+    out, doc = rows.join(verdicts, keys), lambda c: F.col("doc").getField(c)
+    lines = F.filter(F.split(doc(text_col), "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("frequent", F.xxhash64(normalised(x)))))
+    cut = F.col("frequent").isNotNull()
+    out = out.select("doc", cut.alias("cut"), F.when(cut, F.array_join(lines, "\n")).otherwise(doc(text_col)).alias("left"))
+    new = {c: doc(c) for c in docs.columns} | {text_col: F.col("left")}
     if chars_col:
-        out = out.withColumn(chars_col, F.when(F.col("__quality_frequent").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
-    return out.select(docs.columns)
+        new[chars_col] = F.when(F.col("cut"), F.length("left")).otherwise(doc(chars_col)).cast(docs.schema[chars_col].dataType)
+    return out.select(*(new[c].alias(c) for c in docs.columns))

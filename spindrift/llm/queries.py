@@ -50,8 +50,8 @@ raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line F
 ln AS (SELECT doc_id, host, text, line, lower(trim(regexp_replace(line, '[ 	-
 ]+', ' ', 'g'))) AS norm FROM raw WHERE regexp_matches(line, '[^ 	-
 ]')),
-hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
-freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS c FROM ln GROUP BY host, norm) JOIN hosts USING (host) WHERE c > 20 AND c > CAST(0.1 AS DOUBLE) * texts),
+hosts AS (SELECT host, count(*) AS documents FROM d GROUP BY host),
+freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS c FROM ln GROUP BY host, norm) JOIN hosts USING (host) WHERE c > 20 AND c > CAST(0.1 AS DOUBLE) * documents),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id),
 gone AS (SELECT doc_id, CAST(sum(len(string_split(norm, ' '))) AS BIGINT) AS n FROM ln JOIN freq USING (host, norm) GROUP BY doc_id),
 m AS (

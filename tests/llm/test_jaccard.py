@@ -92,9 +92,9 @@ def test_pruning_bounds_rise():
 
 
 def test_crowded_keys_and_many_ids_change_nothing(spark, docs, texts, monkeypatch):
-    from spindrift.llm import blocks, jaccard
+    from spindrift.llm import jaccard, joins
 
-    monkeypatch.setattr(blocks, "CROWDED", 2)
+    monkeypatch.setattr(joins, "CROWDED", 2)
     monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
     found = Counter((r.doc_id, r.n_links, r.class_id) for r in near_duplicates(docs).collect())
     assert found == brute(texts)
