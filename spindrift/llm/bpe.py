@@ -1,21 +1,34 @@
 """Byte-pair encoding and decoding by a tokenization automaton.
 
-The automaton's arcs are labelled with tokens and its paths are exactly the
+The token automaton has arcs labelled with tokens, and its paths are exactly the
 proper tokenizations. It starts as one state that every symbol leads back to;
 then each merge (a, b) -> c, in order, applies a gadget wherever an arc a leads
 to a state with an arc b: the state behind a loses its arc b, and an arc c enters
 a copy of the state behind b. The state behind a token so depends on that token
-alone. Copies are kept by reference: `copied` says of which state a state is a
-copy and since which merge, `entered` from which arc an arc stems, and `removed`
-which arcs a merge took away. has_arc() resolves these tables, and resolved arcs
-are kept as a transition table.
-
-A word is encoded left to right: of the tokens that end at a position, which an
-Aho-Corasick table lists, just one has an arc from the state at its start.
-Decoding emits the labels of the arcs.
+alone, and has_arc() tells its arcs from what the gadgets did: `copied` says of
+which state a state is a copy and since which merge, `entered` from which arc an
+arc stems, and `removed` which arcs a merge took away.
+
+It is then compiled into a deterministic automaton over the letters of words. A
+state of that stands for a read prefix: the last token of the prefix's own
+tokenization, and the arcs of the token automaton that are partly read, each as
+the token it leaves from and a node of the tree of all labels. One letter moves
+every partly read arc one node on; the one that ends there and exists is the last
+token of the longer prefix. The table of transitions (state, letter) -> state is
+built when the file is loaded, for all prefixes of all labels; a transition that
+no label needs is compiled when a word first needs it, up to STATES states, and
+beyond that only followed.
+
+A word is encoded letter by letter through the table. The last state names the
+last token and its length, the state that many letters before names the token
+before, and so on. Decoding emits the labels of the arcs.
 
 Only words absent from a bounded table are run through the automaton. The table
 has no effect on results.
+
+Defined results: null and empty texts have no tokens; texts have any length and
+are never cut; ids may be null or repeat, each row is encoded for itself; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +38,6 @@ import json
 import unicodedata
 from collections.abc import Iterable
 
-import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,8 +46,8 @@ from pyspark.sql import functions as F
 from . import words as W
 from .runtime import prepare
 
-#: Entries of the tables of chunks and of words that a worker keeps, and of resolved arcs.
-CHUNKS, WORDS, ARCS = 120_000, 300_000, 400_000
+#: Entries of the tables of chunks and of words that a worker keeps, and states of the compiled automaton.
+CHUNKS, WORDS, STATES = 120_000, 300_000, 400_000
 _END = "\x00"
 
 
@@ -72,25 +84,15 @@ class Automaton:
             self.copied[c], self.entered[c] = (b, at), (a, at)
             born[c] = at
         self.born = born
-        self.arcs: dict[int, bool] = {}
-        self.table = ahocorasick.Automaton()
+        words = {}
         for token, i in vocab.items():
-            inner = token[: -len(suffix)] + _END if suffix and token.endswith(suffix) and token != suffix else token
-            if i in born or len(inner) == 1 or (len(inner) == 2 and inner[1] == _END):
-                self.table.add_word(inner, (len(inner), i))
-        self.table.make_automaton()
+            word = token[: -len(suffix)] + _END if suffix and token.endswith(suffix) and token != suffix else token
+            if i in born or len(word) == 1 or (len(word) == 2 and word[1] == _END):
+                words[word] = i
+        self._compile(words)
 
     def has_arc(self, a: int, b: int) -> bool:
         """Whether the state behind token a has an arc b when all gadgets are applied."""
-        key = a << 32 | b
-        known = self.arcs.get(key)
-        if known is None:
-            known = self._resolve(a, b)
-            if len(self.arcs) < ARCS:
-                self.arcs[key] = known
-        return known
-
-    def _resolve(self, a: int, b: int) -> bool:
         upto = len(self.born)  # merges before this one count
         while True:
             if self.removed.get(a << 32 | b, upto) < upto:
@@ -104,33 +106,82 @@ class Automaton:
                 b, at = self.entered[b]
                 upto = at + 1
 
+    def _compile(self, words: dict[str, int]) -> None:
+        """The tree of all labels, and the transitions for all of their prefixes."""
+        self.tree: dict[tuple[int, str], int] = {}
+        self.named = [-1]  # of each node: the token that ends there
+        for word, i in words.items():
+            node = 0
+            for letter in word:
+                step = self.tree.get((node, letter))
+                if step is None:
+                    step = self.tree[node, letter] = len(self.named)
+                    self.named.append(-1)
+                node = step
+            self.named[node] = i
+        # a state: its last token, that token's letters, and the partly read arcs, the earliest first, as (token that it leaves from, its letters, node)
+        self.states: list[tuple] = [(-1, 0, ((-1, 0, 0),))]
+        self.numbers: dict[tuple, int] = {self.states[0]: 0}
+        self.moves: list[dict[str, int]] = [{}]
+        seen = {0: 0}  # node of the tree -> state
+        for (node, letter), step in self.tree.items():
+            seen[step] = self._compiled(seen[node], letter)
+
+    def _moved(self, state: tuple, letter: str) -> tuple:
+        """The state that a letter leads to."""
+        token, size, going = -1, 0, []
+        for before, read, node in state[2]:
+            step = self.tree.get((node, letter))
+            if step is None:
+                continue
+            going.append((before, read + 1, step))
+            arc = self.named[step]
+            if token < 0 <= arc and (before < 0 or self.has_arc(before, arc)):
+                token, size = arc, read + 1
+        if token >= 0:
+            going.append((token, 0, 0))
+        return token, size, tuple(going)
+
+    def _compiled(self, number: int, letter: str) -> int:
+        """The number of the state that a letter leads to from a numbered one; -1 if there is no room for it."""
+        found = self._moved(self.states[number], letter)
+        to = self.numbers.get(found)
+        if to is None:
+            if len(self.states) >= STATES:
+                return -1
+            to = self.numbers[found] = len(self.states)
+            self.states.append(found)
+            self.moves.append({})
+        self.moves[number][letter] = to
+        return to
+
+    def _path(self, letters: str) -> list[tuple]:
+        """The states behind each prefix."""
+        at, path, moves, states = 0, [], self.moves, self.states
+        for k, letter in enumerate(letters):
+            to = moves[at].get(letter)
+            if to is None:
+                to = self._compiled(at, letter)
+                if to < 0:
+                    state = states[at]
+                    for rest in letters[k:]:
+                        state = self._moved(state, rest)
+                        path.append(state)
+                    return path
+            path.append(states[to])
+            at = to
+        return path
+
     def encode(self, letters: str) -> list[int]:
         """Tokens of a word in byte letters."""
-        n = len(letters) + 1 if self.suffix else len(letters)
-        back = [-1] * (n + 1)
-        token = [-1] * (n + 1)
-        arcs = self.arcs
-        for end, (size, t) in self.table.iter(letters + _END if self.suffix else letters):
-            end += 1
-            if token[end] >= 0:
-                continue
-            start = end - size
-            if start:
-                before = token[start]
-                if before < 0:
-                    continue
-                ok = arcs.get(before << 32 | t)
-                if ok is None:
-                    ok = self.has_arc(before, t)
-                if not ok:
-                    continue
-            token[end], back[end] = t, start
-        out = []
+        path = self._path(letters + _END if self.suffix else letters)
+        out, n = [], len(path)
         while n:
-            if token[n] < 0:
+            token, size, _ = path[n - 1]
+            if token < 0:
                 raise ValueError("a symbol is not in the vocabulary")
-            out.append(token[n])
-            n = back[n]
+            out.append(token)
+            n -= size
         return out[::-1]
 
 
@@ -218,11 +269,7 @@ def _encode(path: str):
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded text of each row.
-
-    Null text is empty; ids may be null or repeat; other columns are ignored. The
-    file at `path` must be on every executor.
-    """
+    """doc_id, n_tokens and the digests of ids and decoded text of each row. The file at `path` must be on every executor."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_encode(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

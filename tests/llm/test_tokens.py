@@ -117,3 +117,32 @@ def test_files_read_back(docs, texts, spark, tmp_path):
 def test_empty(none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     assert wavelet.token_files(none, path).count() == 0 and bpe.encode_digests(none, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_states_beyond_the_table_change_nothing(monkeypatch):
+    """No room for another state: transitions are followed, none is kept."""
+    automaton = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json")).automaton
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdeinorst") for _ in range(r.randint(1, 30))) for _ in range(500)]
+    states = len(automaton.states)
+    monkeypatch.setattr(bpe, "STATES", states)
+    got = [automaton.encode(w) for w in words]
+    assert len(automaton.states) == states
+    monkeypatch.undo()
+    assert got == [automaton.encode(w) for w in words] and len(automaton.states) > states
+
+
+def test_every_prefix_of_a_label_is_compiled():
+    a = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json")).automaton
+    states = len(a.states)
+    for i in list(a.labels)[::50]:
+        if i in a.born and a.labels[i].endswith(a.suffix):
+            assert a.encode(a.labels[i].removesuffix(a.suffix))
+    assert len(a.states) == states
+
+
+def test_no_rows_and_clashing_names(spark, none):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe.encode_digests(none, path).count() == 0 and bpe.encode_ids(none, path).count() == 0
+    df = spark.createDataFrame([(1, "a b", 3, "x"), (None, None, 3, "x")], "doc_id long, text string, n_tokens int, ids_sha256 string")
+    assert [r.n_tokens for r in bpe.encode_digests(df, path).collect()] == [2, 0]
