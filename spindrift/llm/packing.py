@@ -1,18 +1,22 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
 Documents are cut into pieces of at most the largest capacity. The pieces are
-dealt evenly to packing tasks; a task takes its pieces longest first. A piece goes
+dealt evenly to packing tasks, by a hash of id, text and piece that no layout of
+the input changes; a task takes its pieces longest first. A piece goes
 into the open bin that it leaves the least room in. If none has room, a bin is
 opened: for each permitted capacity the bin is filled in trial with what is left,
 the longest fitting piece first, and the capacity with the least cost for a token
 is taken. A bin costs its capacity, BIN_COST, and its capacity squared over SQUARED,
 as attention does, so that neither many short bins nor a few long ones are always
-best. In the end every bin is
-cut down to the least capacity that holds its contents.
+best. In the end every bin is cut down to the least capacity that holds its contents.
+
+pack_documents tells where every piece goes; pack_sequences returns the bins
+themselves, with their token ids and the borders of the documents in them.
 
 Defined results: an empty or null text has only its end token; null ids are kept;
-repeated rows are packed each for itself; ties go by id and piece. Other columns
-are ignored.
+every row is packed for itself, also where ids are shared or rows repeat; ties go
+by id, text and piece; an empty table gives no bins. A text has any length; its
+pieces spread over the tasks. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +25,11 @@ from bisect import insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .runtime import prepare
+from .runtime import materialise, prepare
 from .wavelet import tokens_by
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -107,49 +110,76 @@ def _first_with(rooms: list[tuple[int, int]], n: int) -> int:
     return lo
 
 
-_PIECES = "doc_id long, piece int, start long, n_tokens long, salt long"
-_PACKED = "doc_id long, piece int, start long, n_tokens long, bin_id string, place long, bin_tokens long, capacity long"
+#: Id of the end token.
+END_ID = 2
+
 
+def _pieces(path: str, largest: int, with_ids: bool):
+    """Map step over (doc_id, text): the pieces of each row; `key` tells rows of other content apart, whatever their order."""
 
-def _pieces(path: str, largest: int):
     def pieces(batches):
-        by, salt = tokens_by(path), TaskContext.get().partitionId() << 40
+        by = tokens_by(path)
         for rows, data, offsets in W.chunks(batches, keeps=True):
-            n = by.encode(data, offsets)[1] + 1  # with the end token
-            parts = -(-n // largest)
+            ids, n = by.encode(data, offsets)
+            parts = -(-(n + 1) // largest)
             piece = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            size = np.minimum(largest, np.repeat(n, parts) - piece * largest)
-            ids = rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), parts)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(piece.astype(np.int32)), pa.array(piece * largest), pa.array(size), pa.array(salt + np.arange(len(size)))], ["doc_id", "piece", "start", "n_tokens", "salt"])
-            salt += len(size)
+            size = np.minimum(largest, np.repeat(n + 1, parts) - piece * largest)
+            of = np.repeat(np.arange(len(n)), parts)
+            out = [rows.column(c).take(pa.array(of)) for c in ("doc_id", "key")]
+            out += [pa.array(piece.astype(np.int32)), pa.array(piece * largest), pa.array(size)]
+            names = ["doc_id", "key", "piece", "start", "n_tokens"]
+            if with_ids:
+                whole = np.full(int((n + 1).sum()), END_ID, np.int32)
+                whole[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
+                out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(whole)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(out, names)
 
     return pieces
 
 
 def _task(capacities: tuple[int, ...], bin_cost: int):
     def task(key, table):
-        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("key", "ascending"), ("piece", "ascending")])
         sizes = table.column("n_tokens").to_numpy()
         bins, places, capacity = pack(sizes, capacities, bin_cost)
         held = np.bincount(bins, sizes, len(capacity)).astype(np.int64)
-        out = table.select(["doc_id", "piece", "start", "n_tokens"])
         for name, column in (("bin_id", pa.array([f"{key[0].as_py()}-{b}" for b in bins.tolist()])), ("place", pa.array(places)), ("bin_tokens", pa.array(held[bins])), ("capacity", pa.array(capacity[bins]))):
-            out = out.append_column(name, column)
-        return out
+            table = table.append_column(name, column)
+        return table
 
     return task
 
 
-def pack_pieces(pieces: DataFrame, total: int, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST) -> DataFrame:
-    """Bins of `total` pieces (doc_id, piece, start, n_tokens, salt); salt spreads them over the tasks."""
-    tasks = max(1, -(-total // TASK_PIECES))
-    dealt = pieces.withColumn("task", F.pmod(F.xxhash64("salt"), F.lit(tasks)).cast("long"))
-    return dealt.groupBy("task").applyInArrow(_task(tuple(capacities), bin_cost), _PACKED)
+def pack_pieces(pieces: DataFrame, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST) -> DataFrame:
+    """pieces (doc_id, key, piece, start, n_tokens) with bin_id, place, bin_tokens and capacity; packed by tasks of about TASK_PIECES pieces."""
+    pieces = materialise(pieces)
+    tasks = max(1, -(-pieces.count() // TASK_PIECES))
+    dealt = pieces.withColumn("task", F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(tasks)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", bin_id string, place long, bin_tokens long, capacity long"
+    task = _task(tuple(capacities), bin_cost)
+    return dealt.groupBy("task").applyInArrow(lambda key, table: task(key, table.drop_columns(["task"])), schema)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    prepare(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("key"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start (token of the document), n_tokens, bin_id, place (token of the bin), bin_tokens, capacity of every piece."""
-    prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    total = rows.count()
-    return pack_pieces(rows.mapInArrow(_pieces(tokenizer, max(capacities)), _PIECES), total, capacities, bin_cost)
+    pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), False), "doc_id long, key long, piece int, start long, n_tokens long")
+    return pack_pieces(pieces, capacities, bin_cost).drop("key")
+
+
+def pack_sequences(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """bin_id, capacity, n_tokens, ids (the sequence) and pieces (doc_id, piece, start, place, n_tokens) of every bin, in the order of places; a bin's row holds the largest capacity at most."""
+    pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), True), "doc_id long, key long, piece int, start long, n_tokens long, ids array<int>")
+    # the ids wait where they are written, under a number of their piece, while the lengths are packed
+    pieces = materialise(pieces.withColumn("row", F.monotonically_increasing_id()))
+    placed = pack_pieces(pieces.drop("ids"), capacities, bin_cost).select("row", "bin_id", "place", "bin_tokens", "capacity")
+    piece = F.struct("place", "doc_id", "piece", "start", "n_tokens", "ids")
+    bins = pieces.join(placed, "row").groupBy("bin_id").agg(F.first("capacity").alias("capacity"), F.first("bin_tokens").alias("n_tokens"), F.sort_array(F.collect_list(piece)).alias("p"))
+    borders = F.transform("p", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["piece"].alias("piece"), x["start"].alias("start"), x["place"].alias("place"), x["n_tokens"].alias("n_tokens")))
+    return bins.select("bin_id", "capacity", "n_tokens", F.flatten(F.col("p.ids")).alias("ids"), borders.alias("pieces"))

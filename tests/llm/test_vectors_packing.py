@@ -130,6 +130,96 @@ def test_best_fit():
     assert bins.tolist() == [0, 1, 0, 1, 1] and capacity.tolist() == [10, 10]
 
 
+def plain_pack(lengths, capacities, bin_cost):
+    """Every rule by a full search: (bin, place) of each piece and the capacity of each bin."""
+    left, bins, out = list(lengths), [], []
+    for n in lengths:
+        left.remove(n)
+        fitting = [(room - n, b) for b, (room, _) in enumerate(bins) if room >= n]
+        if fitting:
+            b = min(fitting)[1]
+        else:
+            cost = {}
+            for c in capacities:
+                if c >= n:
+                    used = n
+                    for x in sorted(left, reverse=True):
+                        if used + x <= c:
+                            used += x
+                    cost[c] = (c + bin_cost + c * c / packing.SQUARED) / used
+            b = len(bins)
+            bins.append((min(cost, key=lambda c: (cost[c], c)), 0))
+        room, used = bins[b]
+        out.append((b, used))
+        bins[b] = (room - n, used + n)
+    return out, [min(c for c in capacities if c >= used) for _, used in bins]
+
+
+def test_packing_against_a_full_search():
+    r = np.random.default_rng(2)
+    for k in range(150):
+        capacities = tuple(sorted(r.choice(np.arange(4, 60), r.integers(1, 5), replace=False).tolist()))
+        lengths = np.sort(r.integers(1, capacities[-1] + 1, r.integers(1, 40)))[::-1]
+        cost = int(r.integers(0, 10))
+        bins, places, capacity = packing.pack(lengths, capacities, cost)
+        assert (list(zip(bins.tolist(), places.tolist(), strict=True)), capacity.tolist()) == plain_pack(lengths.tolist(), capacities, cost), k
+
+
+def _least_cost(lengths, capacities, cost):
+    """Of all ways to share the pieces out to bins."""
+    best = [float("inf")]
+
+    def go(k, bins):
+        if k == len(lengths):
+            best[0] = min(best[0], sum(min(c for c in capacities if c >= b) + cost for b in bins))
+            return
+        for i in range(len(bins)):
+            if bins[i] + lengths[k] <= capacities[-1]:
+                go(k + 1, bins[:i] + [bins[i] + lengths[k]] + bins[i + 1 :])
+        go(k + 1, [*bins, lengths[k]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_least_cost():
+    r, got, least = np.random.default_rng(3), 0, 0
+    for _ in range(60):
+        lengths = np.sort(r.integers(1, 33, 7))[::-1]
+        got += int(packing.pack(lengths, (8, 16, 32), 1)[2].sum() + len(packing.pack(lengths, (8, 16, 32), 1)[2]))
+        least += _least_cost(lengths.tolist(), (8, 16, 32), 1)
+    assert least <= got <= 1.06 * least
+
+
+def test_bins_do_not_depend_on_the_layout(docs, monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(packing, "TASK_PIECES", 9)
+    found = lambda df: Counter(map(tuple, packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json"), (64, 256)).drop("bin_id").collect()))
+    assert found(docs.repartition(2)) == found(docs.repartition(5))
+
+
+def test_sequences_hold_the_documents(docs, texts):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    rows = packing.pack_sequences(docs, path, (128, 512)).collect()
+    found = {}
+    for r in rows:
+        assert r.n_tokens == len(r.ids) <= r.capacity
+        assert [p.place for p in r.pieces] == [sum(p.n_tokens for p in r.pieces[:k]) for k in range(len(r.pieces))]
+        for p in r.pieces:
+            found.setdefault((p.doc_id, p.start), Counter())[tuple(r.ids[p.place : p.place + p.n_tokens])] += 1
+    want = {}
+    for i, t in texts:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, packing.END_ID]
+        for k in range(0, len(ids), 512):
+            want.setdefault((i, k), Counter())[tuple(ids[k : k + 512])] += 1
+    assert found == want
+
+
 def test_documents_are_whole(docs, texts):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     rows = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
@@ -142,3 +232,4 @@ def test_documents_are_whole(docs, texts):
 def test_nothing_to_pack(none):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     assert packing.pack_documents(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
+    assert packing.pack_sequences(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
