@@ -2,7 +2,15 @@
 
 Every stage works on all that the one before it kept. Quality rules drop bad
 documents and frequent lines; toxic documents go; one document of each
-near-duplicate group stays; repeated passages are cut out; what is left is packed.
+near-duplicate group stays; repeated passages are cut out; what is left is packed:
+one row for each sequence, with its token ids and the documents in it.
+
+Defined results: a null or empty text fails the quality rules; every row is a
+document of its own, whatever its id, so rows that share an id or have none are
+kept or dropped each for itself; of rows that repeat a text one stays; without
+labels of both classes no document is toxic; empty tables give no sequences; texts
+have any length. Columns besides doc_id, text, source and n_chars, whatever their
+names, are passed on until the last stage, which leaves them out.
 """
 
 from __future__ import annotations
@@ -12,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spindrift.llm.jaccard import keep_one
-from spindrift.llm.packing import pack_documents
+from spindrift.llm.packing import pack_sequences
 from spindrift.llm.quality import keep_good
 from spindrift.llm.runtime import materialise
 from spindrift.llm.substrings import dedup_substrings
@@ -38,7 +46,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
