@@ -1,7 +1,8 @@
 """Class-based n-gram scoring: exchange clustering of words, class transitions, word emissions.
 
 (1) Word counts, pre-aggregated in each task, summed by hash. (2) The CLUSTERED
-most frequent words are clustered by their bigrams. (3) Every other word seen
+most frequent words are clustered by their bigrams, in one task that holds a
+CLUSTERED by CLUSTERED table whatever the corpus. (3) Every other word seen
 LEAST times or more joins the class that its neighbours' classes make likeliest:
 its counts with these classes are summed by hash and each word is judged for
 itself. (4) Words, counts and classes are a table. Documents become sequences of
@@ -10,12 +11,13 @@ but time, and the others come by a join on the word's hash. (5) Class transition
 are counted on the training documents' sequences, then all are scored.
 
 What reaches the driver is bounded by parameters: at most SHARED words with
-counts, and (symbols x symbols) and (classes x classes) bigram counts.
+counts, and (classes x classes) bigram counts.
 
-Defined results: a null or empty text is one end token; a null id is not a
-training document's id (its checksum is null) and is not held out; repeated
-rows count as often as they occur; an empty training set gives N = V = 0.
-Columns other than the id and text are ignored.
+Defined results: a null or empty text is one end token; a row without an id has no
+checksum, so it is not held out and is learnt from; rows count as often as they
+occur, each for itself, also where ids are shared; an empty training set gives
+N = V = 0; an empty table gives no rows. Texts have any length and are never cut.
+Columns other than the id and text, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from .runtime import materialise, prepare
 #: Most words whose counts and classes every task holds (24 bytes each); the others are joined.
 SHARED = 262_144
 #: Most frequent words that are clustered by exchange, and their classes.
-CLUSTERED = 768
+CLUSTERED = 2048
 CLASSES = 48
 ROUNDS = 6
 #: Times from which a word has one of the classes; rarer ones share the class of unseen words.
@@ -129,7 +131,7 @@ def head(counts: DataFrame) -> Model:
 
 
 def bigrams(docs: DataFrame, shared) -> DataFrame:
-    """(a, b, n): neighbouring symbols; a document's first word follows an end."""
+    """(a, b, n): neighbouring symbols, each pair once; a document's first word follows an end."""
 
     def count(batches):
         model = shared.value
@@ -194,6 +196,29 @@ def exchange(table: np.ndarray, movable: int, classes: int = CLASSES, rounds: in
     return klass
 
 
+def _clustered(size: int):
+    """The one task that clusters: rows (a, next) of bigrams in, the class of each symbol and the class bigrams out."""
+
+    def cluster(batches):
+        table = np.zeros((size, size))
+        for batch in batches:
+            at, pairs = _flat(batch.column("next"), batch.num_rows)
+            b, n = (pairs.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            table[batch.column("a").to_numpy()[at], b] = n
+        klass, g = classes_of(table)
+        yield pa.RecordBatch.from_arrays([pa.array([klass.astype(np.int64).tobytes()], pa.binary()), pa.array([g.tobytes()], pa.binary())], ["klass", "g"])
+
+    return cluster
+
+
+def classes_of(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each symbol, the last two of which have one each, and the bigrams of classes."""
+    klass = exchange(table, len(table) - 2)
+    onto = np.zeros((len(table), int(klass.max()) + 1))
+    onto[np.arange(len(table)), klass] = 1
+    return klass, onto.T @ table @ onto
+
+
 def contexts(docs: DataFrame, shared, klass: np.ndarray) -> DataFrame:
     """(h, code, n): how often a word that is not clustered follows class `code`, or is followed by class `code` - classes."""
     k = int(klass.max()) + 1
@@ -261,16 +286,18 @@ def word_classes(docs: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
     model = head(counts)
     shared = spark.sparkContext.broadcast(model)
     size = model.n_symbols
-    found = bigrams(docs, shared).toPandas()
-    table = np.zeros((size, size))
-    table[found["a"].to_numpy(int), found["b"].to_numpy(int)] = found["n"].to_numpy(float)
-    klass = exchange(table, size - 2)
+    # a row for each symbol, however large the corpus
+    pairs = bigrams(docs, shared).groupBy("a").agg(F.collect_list(F.struct("b", "n")).alias("next"))
+    found = pairs.repartition(1).mapInArrow(_clustered(size), "klass binary, g binary").collect()
+    if found:
+        klass, g = np.frombuffer(found[0]["klass"], np.int64), np.frombuffer(found[0]["g"])
+    else:  # no bigrams, no task
+        klass, g = classes_of(np.zeros((size, size)))
     k = int(klass.max()) + 1
-    onto = np.zeros((size, k))
-    onto[np.arange(size), klass] = 1
+    g = g.reshape(k, k)
     seen = contexts(docs, shared, klass).repartition("h").groupBy("h", "code").agg(F.sum("n").alias("n")).groupBy("h").agg(F.collect_list(F.struct("code", "n")).alias("seen"))
     known = counts.where((F.col("n") >= LEAST) & (F.col("h") != _END))
-    tail = seen.join(known, "h").select("h", "n", "seen").mapInArrow(_joined_class(onto.T @ table @ onto, k - 2), "h long, n long, klass int")
+    tail = seen.join(known, "h").select("h", "n", "seen").mapInArrow(_joined_class(g, k - 2), "h long, n long, klass int")
     clustered = spark.createDataFrame([(int(h), int(n), int(c)) for h, n, c in zip(model.hashes.view(np.int64), model.counts, klass[:-2], strict=True)], "h long, n long, klass int")
     # clustered words that are rare, in a small corpus, are of the rest like others
     clustered = clustered.where(F.col("n") >= LEAST)

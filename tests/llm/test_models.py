@@ -60,6 +60,37 @@ def test_exchange_finds_the_classes():
     assert len({(a, b) for a, b in zip(kind, klass, strict=True)}) == 4
 
 
+def test_score_against_plain_class_bigrams(docs, texts):
+    """The score from the words' classes and counts alone, a token at a time."""
+    tok = [(i, re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW)) + [None]) for i, t in texts]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    train = docs.where("doc_id IS NULL OR crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 <> 2")
+    words, k = brown.word_classes(train, brown.word_counts(train))
+    table = {r.h: (r.klass, r.n) for r in words.collect()}
+    key = lambda w: int(brown.END.astype(np.int64)) if w is None else int(np.uint64(brown.W.hash_of(w)).astype(np.int64))
+    klass = lambda w: table.get(key(w), (k - 2, 0))[0]
+    g = Counter((a, b) for i, t in tok if not held(i) for a, b in zip([k - 1, *map(klass, t)], map(klass, t), strict=False))
+    of, into = Counter(), Counter()
+    for (a, b), n in g.items():
+        of[a] += n
+        into[b] += n
+    total = sum(of.values())
+    size = {c: (sum(n for x, n in table.values() if x == c), sum(x == c for x, _ in table.values())) for c in range(k)}
+
+    def log_p(t):
+        score, before = 0.0, k - 1
+        for w in t:
+            c, n = table.get(key(w), (k - 2, 0))
+            score += math.log10((g[before, c] + brown.KAPPA * (into[c] + 1) / (total + k)) / (of[before] + brown.KAPPA))
+            if w is not None:
+                score += math.log10((n + 1) / (size[c][0] + size[c][1] + 1))
+            before = c
+        return score
+
+    found = sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in brown.score_documents(docs).collect())
+    assert found == sorted((str(i), len(t), round(log_p(t), 6)) for i, t in tok)
+
+
 def test_no_training_documents(spark):
     docs = spark.createDataFrame([(17, "a b")], "doc_id long, text string").where("doc_id < 0")
     assert brown.score_documents(docs).count() == 0
