@@ -12,13 +12,17 @@ Templates of at most MIN_MATCH words have an automaton of their own: there
 pieces of any length chain, across a name and a year, and a chain counts if one
 of its pieces has SHORT_MATCH words.
 
+Templates are a parameter; TEMPLATES has notices and whole texts of public licences.
+
 Defined results: a null or empty text has no words; ties between chains go to
-the earliest; repeated rows are scanned each for itself; other columns are
-ignored.
+the earliest; rows are scanned each for itself, whatever their ids; an empty table
+gives no rows; texts have any length and are never cut; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -38,8 +42,8 @@ COVERED = 0.6
 #: Phrases of the base labels. Fixed values.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Notices of public licences, (label, text). Fixed values.
-TEMPLATES = [
+#: Notices and texts of public licences, (label, text). Fixed values.
+TEMPLATES: tuple[tuple[str, str], ...] = (
     ("all-rights-reserved", "all rights reserved"),
     ("all-rights-reserved", "copyright all rights reserved"),
     ("apache", "licensed under the apache license version 2.0"),
@@ -62,7 +66,30 @@ TEMPLATES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
-]
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("apache", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+)
 
 
 class SuffixAutomaton:
@@ -125,15 +152,15 @@ def tokens_of(text: str) -> np.ndarray:
     return W.split(data, np.array([0, len(data)]), W.ALNUM, lower=True).hash
 
 
-@lru_cache(2)
-def automaton(short: bool) -> tuple[SuffixAutomaton, list[str], list[int], np.ndarray, np.ndarray]:
+@lru_cache(4)
+def automaton(short: bool, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[SuffixAutomaton, list[str], list[int], np.ndarray, np.ndarray]:
     """(automaton, labels, template lengths, sorted vocabulary, sorted grams that a text must touch) of the templates of at most MIN_MATCH words, or of the others."""
-    both = [(label, tokens_of(t)) for label, t in TEMPLATES]
+    both = [(label, tokens_of(t)) for label, t in templates]
     chosen = [(label, s) for label, s in both if (len(s) <= MIN_MATCH) == short]
     seqs = [s for _, s in chosen]
-    vocabulary = np.unique(np.concatenate(seqs))
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *seqs]))
     sam = SuffixAutomaton([[int(x) for x in np.searchsorted(vocabulary, s)] for s in seqs])
-    return sam, [label for label, _ in chosen], [len(s) for s in seqs], vocabulary, np.unique(np.concatenate([W.grams(s, SHORT_MATCH if short else MIN_MATCH) for s in seqs]))
+    return sam, [label for label, _ in chosen], [len(s) for s in seqs], vocabulary, np.unique(np.concatenate([np.zeros(0, np.uint64), *(W.grams(s, SHORT_MATCH if short else MIN_MATCH) for s in seqs)]))
 
 
 def maximal_matches(sam: SuffixAutomaton, tokens: list[int], base: int = 0, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
@@ -181,9 +208,11 @@ _RESULT = (
 )
 
 
-def _spans(w: W.Words, doc: np.ndarray, short: bool) -> dict[int, list[tuple[str, int, int, float]]]:
+def _spans(w: W.Words, doc: np.ndarray, short: bool, templates: tuple[tuple[str, str], ...]) -> dict[int, list[tuple[str, int, int, float]]]:
     """(label, first word, last word, covered share) by document."""
-    sam, names, lengths, vocabulary, known = automaton(short)
+    sam, names, lengths, vocabulary, known = automaton(short, templates)
+    if not len(known):
+        return {}
     # a short template's pieces lie up to MAX_GAP words beside the one that is looked for
     k, least, beside = (SHORT_MATCH, 1, MAX_GAP + 1) if short else (MIN_MATCH, MIN_MATCH, 0)
     g = W.grams(w.hash, k)
@@ -203,46 +232,50 @@ def _spans(w: W.Words, doc: np.ndarray, short: bool) -> dict[int, list[tuple[str
     return {d: [(names[t], a, b, c) for t, a, b, c in chained(sam, lengths, m, k if short else 0)] for d, m in found.items()}
 
 
-def _scan(batches):
-    phrases = [(tokens_of(p), label) for p, label in PHRASES.items()]
-    for rows, data, offsets in W.chunks(batches):
-        w = W.split(data, offsets, W.ALNUM, lower=True)
-        docs, total = rows.num_rows, len(w.hash)
-        doc = w.doc()
-        n_base = np.zeros(docs, np.int64)
-        first, last = np.full(docs, -1), np.full(docs, -1)
-        base: dict[int, set[str]] = {}
-        for p, label in phrases:
-            n = max(0, total - len(p) + 1)
-            hit = np.ones(n, bool)
-            for j, x in enumerate(p):
-                hit &= w.hash[j : j + n] == x
-            at = np.flatnonzero(hit)
-            at = at[doc[at] == doc[at + len(p) - 1]] if len(at) else at
-            for i in at:
-                d, x = int(doc[i]), int(i - w.first[doc[i]])
-                n_base[d] += 1
-                first[d] = x if first[d] < 0 else min(first[d], x)
-                last[d] = max(last[d], x)
-                base.setdefault(d, set()).add(label)
-        spans = _spans(w, doc, short=False)
-        for d, more in _spans(w, doc, short=True).items():
-            spans.setdefault(d, []).extend(more)
-        labels = [",".join(sorted(base.get(d, set()) | {s[0] for s in spans.get(d, [])})) for d in range(docs)]
-        score = [max([1.0 if d in base else 0.0, *(s[3] for s in spans.get(d, []))]) for d in range(docs)]
-        none = n_base == 0
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows.column("doc_id"), pa.array(w.counts()), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none),
-                pa.array([",".join(sorted(base.get(d, ()))) for d in range(docs)]), pa.array(labels), pa.array(score),
-                pa.array([[dict(zip(("label", "first_word", "last_word", "covered"), s, strict=True)) for s in spans.get(d, [])] for d in range(docs)],
-                         pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("covered", pa.float64())]))),
-            ],
-            ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"],
-        )
-
-
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans of each row."""
+def _scan(templates: tuple[tuple[str, str], ...]):
+    def scan(batches):
+        phrases = [(tokens_of(p), label) for p, label in PHRASES.items()]
+        for rows, data, offsets in W.chunks(batches):
+            w = W.split(data, offsets, W.ALNUM, lower=True)
+            docs, total = rows.num_rows, len(w.hash)
+            doc = w.doc()
+            n_base = np.zeros(docs, np.int64)
+            first, last = np.full(docs, -1), np.full(docs, -1)
+            base: dict[int, set[str]] = {}
+            for p, label in phrases:
+                n = max(0, total - len(p) + 1)
+                hit = np.ones(n, bool)
+                for j, x in enumerate(p):
+                    hit &= w.hash[j : j + n] == x
+                at = np.flatnonzero(hit)
+                at = at[doc[at] == doc[at + len(p) - 1]] if len(at) else at
+                for i in at:
+                    d, x = int(doc[i]), int(i - w.first[doc[i]])
+                    n_base[d] += 1
+                    first[d] = x if first[d] < 0 else min(first[d], x)
+                    last[d] = max(last[d], x)
+                    base.setdefault(d, set()).add(label)
+            spans = _spans(w, doc, False, templates)
+            for d, more in _spans(w, doc, True, templates).items():
+                spans.setdefault(d, []).extend(more)
+            labels = [",".join(sorted(base.get(d, set()) | {s[0] for s in spans.get(d, [])})) for d in range(docs)]
+            score = [max([1.0 if d in base else 0.0, *(s[3] for s in spans.get(d, []))]) for d in range(docs)]
+            none = n_base == 0
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id"), pa.array(w.counts()), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none),
+                    pa.array([",".join(sorted(base.get(d, ()))) for d in range(docs)]), pa.array(labels), pa.array(score),
+                    pa.array([[dict(zip(("label", "first_word", "last_word", "covered"), s, strict=True)) for s in spans.get(d, [])] for d in range(docs)],
+                             pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("covered", pa.float64())]))),
+                ],
+                ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"],
+            )
+
+    return scan
+
+
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans of each row; templates are (label, text)."""
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_scan, _RESULT)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(_scan(tuple(map(tuple, templates))), _RESULT)

@@ -140,6 +140,64 @@ def test_licence_spans(spark):
     assert row[1].labels == "" and row[1].score == 0 and row[1].first_word is None
 
 
+def plain_chains(words, template, gap, share):
+    """(first word, last word, covered share) of the best chain of maximal matches, by trying every chain; small inputs only."""
+    n, best = licenses.MIN_MATCH, None
+    found = []
+    for i in range(len(words)):
+        for p in range(len(template)):
+            k = 0
+            while i + k < len(words) and p + k < len(template) and words[i + k] == template[p + k]:
+                k += 1
+            if k >= n and not (i and p and words[i - 1] == template[p - 1]):
+                found.append((i, p, k))
+
+    def go(chain):
+        nonlocal best
+        covered = sum(k for _, _, k in chain)
+        if chain and (best is None or covered > best[2]):
+            best = (chain[0][0], chain[-1][0] + chain[-1][2] - 1, covered)
+        for i, p, k in found:
+            if not chain or (chain[-1][0] + chain[-1][2] <= i <= chain[-1][0] + chain[-1][2] + gap and chain[-1][1] + chain[-1][2] <= p):
+                go([*chain, (i, p, k)])
+
+    go([])
+    return best and best[2] >= share * len(template) and (best[0], best[1], best[2] / len(template)) or None
+
+
+def test_chains_against_all_chains(spark):
+    """A text with words of its template changed, left out or put in between has the span of its best chain."""
+    r = np.random.default_rng(4)
+    template = [f"t{k}" for k in range(30)]
+    texts = []
+    for _ in range(60):
+        w = [f"a{k}" for k in r.integers(0, 9, 5)] + list(template) + [f"b{k}" for k in r.integers(0, 9, 5)]
+        for _ in range(r.integers(0, 4)):
+            at = int(r.integers(5, len(w) - 5))
+            w[at : at + int(r.integers(0, 3))] = [f"x{k}" for k in range(r.integers(0, 14))]
+        texts.append(" ".join(w))
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=[("own", " ".join(template))]).collect()
+    for row in rows:
+        want = plain_chains(texts[row.doc_id].split(), template, licenses.MAX_GAP, licenses.COVERED)
+        assert (row.labels == "own") == (want is not None), texts[row.doc_id]
+        if want:
+            assert (row.spans[0].first_word, row.spans[0].last_word) == want[:2] and row.score == pytest.approx(want[2])
+
+
+def test_templates_are_a_parameter(spark):
+    df = spark.createDataFrame([(1, "released under the mit license"), (2, "one two three four five"), (None, None)], "doc_id long, text string")
+    found = {r.doc_id: (r.base_labels, r.labels) for r in licenses.scan_licenses(df, templates=[("count", "one two three four five")]).collect()}
+    assert found == {1: ("mit", "mit"), 2: ("", "count"), None: ("", "")}
+    assert {r.labels for r in licenses.scan_licenses(df, templates=[]).collect()} == {"mit", ""}
+
+
+def test_whole_texts_are_recognised(spark):
+    long = [(label, t) for label, t in licenses.TEMPLATES if len(t) > 500]
+    rows = [(i, "Copyright (c) 2021 Someone\n\n" + t.replace(" ", "\n   * ", 40)) for i, (_, t) in enumerate(long)]
+    found = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(long) >= 6 and all(label in found[i] for i, (label, _) in enumerate(long))
+
+
 def test_short_notices(spark):
     texts = ["some words.\nAll rights reserved.", "Copyright 2020 X. All rights reserved.", "a Copyright x. All rights reserved\n", "all rights of man are reserved", "copyright reserved for all", "released under the terms"]
     rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
