@@ -1,40 +1,62 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""The folder that driver and executors share: intermediate tables, and the package on every executor."""
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Tables that clean() deletes.
-_written: list[str] = []
+PACKAGE = Path(__file__).resolve().parent
+#: Tables that clean() deletes, by application.
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """spark.checkpoint.dir; where that is unset a temporary folder for a local master, and an error for any other, whose executors would not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spindrift-shared-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the package importable on every executor. Once for an application; the archive goes when the driver ends."""
+    sc = spark.sparkContext
+    if getattr(sc, "_spindrift_shipped", None) != sc.applicationId:
+        fd, name = tempfile.mkstemp(prefix="spindrift-", suffix=".zip")
+        os.close(fd)
+        atexit.register(lambda: Path(name).unlink(missing_ok=True))
+        with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in sorted(PACKAGE.rglob("*.py")):
+                z.write(p, p.relative_to(PACKAGE.parent))
+        sc.addPyFile(name)
+        sc._spindrift_shipped = sc.applicationId
+    return spark
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/spindrift-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clean(spark: SparkSession) -> int:
-    """Deletes the intermediate tables that this process has written, through Spark's own file systems; how many. For when their results have been saved."""
+    """Deletes the intermediate tables that this application has written, through Spark's own file systems; how many. For when their results have been saved."""
     conf, paths = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     n = 0
-    while _written:
-        path = paths(_written.pop())
+    for name in _written.pop(spark.sparkContext.applicationId, []):
+        path = paths(name)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n

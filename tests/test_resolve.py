@@ -7,7 +7,9 @@ from spindrift.operators import resolve as R
 from spindrift.operators.components import components
 
 
-def test_components_against_union_find(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_components_against_union_find(spark, monkeypatch, small):
+    monkeypatch.setattr("spindrift.operators.components.SMALL", small)
     r = random.Random(1)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(7, 7), (999, 999), (None, 3), (5, None)]
     parent = {}
@@ -25,9 +27,13 @@ def test_components_against_union_find(spark):
     found = [(x.vertex, x.component) for x in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()]
     assert len(found) == len(parent) and dict(found) == {a: root(a) for a in parent}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+    named = [(None if a is None else f"v{a:04}é", None if b is None else f"v{b:04}é") for a, b in edges]
+    found = dict((x.vertex, x.component) for x in components(spark.createDataFrame(named, "a string, b string"), "a", "b").collect())
+    assert found == {f"v{a:04}é": f"v{root(a):04}é" for a in parent}
 
 
-def test_hubs_are_salted(spark, monkeypatch):
+def test_hubs_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("spindrift.operators.components.SMALL", 0)
     monkeypatch.setattr("spindrift.operators.components.HUB", 7)
     edges = [(0, k) for k in range(1, 60)] + [(100 + k, 101 + k) for k in range(30)]
     found = dict((x.vertex, x.component) for x in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
