@@ -14,6 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindrift.operators.components import forest
+
+__all__ = ["dealt", "forest", "groups", "pairs", "starts"]
+
 
 def dealt(rows: DataFrame, key: str, member: str, count: str, size: int, by: str | None = None) -> DataFrame:
     """rows with (lo, hi, side): the two blocks of the task, and the row's own one; gathered and sorted by (key, lo, hi), inside by `by` and member."""
@@ -68,23 +72,3 @@ def pairs(first: np.ndarray, total: int, at_once: int = 400_000) -> Iterator[tup
             j = i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             yield i, j
         lo = hi
-
-
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (member, least member) that connect what the pairs connect: min-label rounds with pointer jumps, on distinct values."""
-    if not len(a):
-        return a, b
-    names, inverse = np.unique(np.r_[a, b], return_inverse=True)
-    x, y = inverse[: len(a)], inverse[len(a) :]
-    label = np.arange(len(names))
-    while True:
-        before = label.copy()
-        m = np.minimum(label[x], label[y])
-        np.minimum.at(label, x, m)
-        np.minimum.at(label, y, m)
-        np.minimum.at(label, before, label.copy())
-        label = label[label]
-        if np.array_equal(label, before):
-            break
-    moved = np.flatnonzero(label != np.arange(len(names)))
-    return names[moved], names[label[moved]]

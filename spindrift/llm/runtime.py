@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import SparkSession
 
-from spindrift.storage import materialise, shared_dir
-
-__all__ = ["materialise", "prepare", "shared_dir", "shuffle_width"]
+from spindrift.storage import materialise, shared_dir, ship
 
-PACKAGE = Path(__file__).resolve().parents[1]
+__all__ = ["materialise", "prepare", "shared_dir"]
 
 #: Bytes in an Arrow batch: long texts must not pile up in one Python worker.
 ARROW_BYTES = "4194304"
@@ -21,18 +14,5 @@ ARROW_BYTES = "4194304"
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make the package importable on every executor and bound the Arrow batches. Idempotent for a context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_spindrift_shipped", None) != sc.applicationId:
-        fd, name = tempfile.mkstemp(prefix="spindrift-", suffix=".zip")
-        os.close(fd)
-        with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
-            for p in sorted(PACKAGE.rglob("*.py")):
-                z.write(p, p.relative_to(PACKAGE.parent))
-        sc.addPyFile(name)
-        sc._spindrift_shipped = sc.applicationId
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
-    return spark
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ship(spark)
