@@ -15,8 +15,8 @@ themselves, with their token ids and the borders of the documents in them.
 
 Defined results: an empty or null text has only its end token; null ids are kept;
 every row is packed for itself, also where ids are shared or rows repeat; ties go
-by id, text and piece; an empty table gives no bins. A text has any length; its
-pieces spread over the tasks. Other columns, whatever their names, are ignored.
+by id, text and piece, and pieces that are equal in all of these are equal; an
+empty table gives no bins. A text has any length; its pieces spread over the tasks. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from .wavelet import tokens_by
 CAPACITIES = (512, 1024, 2048, 4096)
 #: What a bin costs besides its capacity, in tokens: a fixed part, and capacity squared over SQUARED.
 BIN_COST, SQUARED = 32, 16_384
-#: Pieces that a packing task gets, about.
-TASK_PIECES = 50_000
+#: Tokens that a packing task gets, about.
+TASK_TOKENS = 1 << 23
 
 
 class _Longest:
@@ -112,6 +112,7 @@ def _first_with(rooms: list[tuple[int, int]], n: int) -> int:
 
 #: Id of the end token.
 END_ID = 2
+_PLACED = "doc_id long, piece int, start long, n_tokens long, bin_id string, place long, bin_tokens long, capacity long"
 
 
 def _pieces(path: str, largest: int, with_ids: bool):
@@ -138,27 +139,47 @@ def _pieces(path: str, largest: int, with_ids: bool):
     return pieces
 
 
-def _task(capacities: tuple[int, ...], bin_cost: int):
+_BINS = "bin_id string, capacity long, n_tokens long, ids array<int>, pieces array<struct<doc_id: long, piece: int, start: long, place: long, n_tokens: long>>"
+
+
+def _order(bins: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces in the order of bins and places, first piece of each bin + 1)."""
+    order = np.lexsort((places, bins))
+    return order, np.searchsorted(bins[order], np.arange(bins.max(initial=-1) + 2))
+
+
+def _task(capacities: tuple[int, ...], bin_cost: int, whole: bool):
+    """Packs one task's pieces: a row for each piece, or with `whole` for each bin."""
+
     def task(key, table):
         table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("key", "ascending"), ("piece", "ascending")])
         sizes = table.column("n_tokens").to_numpy()
         bins, places, capacity = pack(sizes, capacities, bin_cost)
         held = np.bincount(bins, sizes, len(capacity)).astype(np.int64)
-        for name, column in (("bin_id", pa.array([f"{key[0].as_py()}-{b}" for b in bins.tolist()])), ("place", pa.array(places)), ("bin_tokens", pa.array(held[bins])), ("capacity", pa.array(capacity[bins]))):
-            table = table.append_column(name, column)
-        return table
+        name = lambda b: f"{key[0].as_py()}-{b}"
+        if not whole:
+            table = table.select(["doc_id", "piece", "start", "n_tokens"])
+            for c, column in (("bin_id", pa.array([name(b) for b in bins.tolist()])), ("place", pa.array(places)), ("bin_tokens", pa.array(held[bins])), ("capacity", pa.array(capacity[bins]))):
+                table = table.append_column(c, column)
+            return table
+        order, first = _order(bins, places)
+        table = table.append_column("place", pa.array(places)).take(pa.array(order)).combine_chunks()
+        column = lambda c: table.column(c).chunk(0)
+        borders = pa.StructArray.from_arrays([column(c) for c in ("doc_id", "piece", "start", "place", "n_tokens")], ["doc_id", "piece", "start", "place", "n_tokens"])
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32)), column("ids").flatten())
+        pieces = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), borders)
+        return pa.table([pa.array([name(b) for b in range(len(held))]), pa.array(capacity), pa.array(held), ids, pieces], ["bin_id", "capacity", "n_tokens", "ids", "pieces"])
 
     return task
 
 
-def pack_pieces(pieces: DataFrame, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST) -> DataFrame:
-    """pieces (doc_id, key, piece, start, n_tokens) with bin_id, place, bin_tokens and capacity; packed by tasks of about TASK_PIECES pieces."""
+def pack_pieces(pieces: DataFrame, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, whole: bool = False) -> DataFrame:
+    """Bins of pieces (doc_id, key, piece, start, n_tokens and, with `whole`, ids), packed by tasks of about TASK_TOKENS tokens."""
     pieces = materialise(pieces)
-    tasks = max(1, -(-pieces.count() // TASK_PIECES))
+    total = pieces.agg(F.sum("n_tokens")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_TOKENS))
     dealt = pieces.withColumn("task", F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(tasks)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", bin_id string, place long, bin_tokens long, capacity long"
-    task = _task(tuple(capacities), bin_cost)
-    return dealt.groupBy("task").applyInArrow(lambda key, table: task(key, table.drop_columns(["task"])), schema)
+    return dealt.groupBy("task").applyInArrow(_task(tuple(capacities), bin_cost, whole), _BINS if whole else _PLACED)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -170,16 +191,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start (token of the document), n_tokens, bin_id, place (token of the bin), bin_tokens, capacity of every piece."""
     pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), False), "doc_id long, key long, piece int, start long, n_tokens long")
-    return pack_pieces(pieces, capacities, bin_cost).drop("key")
+    return pack_pieces(pieces, capacities, bin_cost)
 
 
 def pack_sequences(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """bin_id, capacity, n_tokens, ids (the sequence) and pieces (doc_id, piece, start, place, n_tokens) of every bin, in the order of places; a bin's row holds the largest capacity at most."""
     pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), True), "doc_id long, key long, piece int, start long, n_tokens long, ids array<int>")
-    # the ids wait where they are written, under a number of their piece, while the lengths are packed
-    pieces = materialise(pieces.withColumn("row", F.monotonically_increasing_id()))
-    placed = pack_pieces(pieces.drop("ids"), capacities, bin_cost).select("row", "bin_id", "place", "bin_tokens", "capacity")
-    piece = F.struct("place", "doc_id", "piece", "start", "n_tokens", "ids")
-    bins = pieces.join(placed, "row").groupBy("bin_id").agg(F.first("capacity").alias("capacity"), F.first("bin_tokens").alias("n_tokens"), F.sort_array(F.collect_list(piece)).alias("p"))
-    borders = F.transform("p", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["piece"].alias("piece"), x["start"].alias("start"), x["place"].alias("place"), x["n_tokens"].alias("n_tokens")))
-    return bins.select("bin_id", "capacity", "n_tokens", F.flatten(F.col("p.ids")).alias("ids"), borders.alias("pieces"))
+    return pack_pieces(pieces, capacities, bin_cost, whole=True)

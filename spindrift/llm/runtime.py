@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import SparkSession
 
 from spindrift.storage import materialise, shared_dir, ship
@@ -13,6 +15,13 @@ ARROW_BYTES = "4194304"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Make the package importable on every executor and bound the Arrow batches. Idempotent for a context."""
+    """Make the package importable on every executor and bound the Arrow batches. Idempotent for a context.
+
+    Spark deletes shuffle files and broadcasts once the driver's collector finds
+    their plans unused; a driver with little to do collects seldom, so an operator
+    that begins asks for it, and what the one before it shuffled goes.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return ship(spark)

@@ -193,12 +193,13 @@ def test_packing_is_near_the_least_cost():
 
 def test_bins_do_not_depend_on_the_layout(docs, monkeypatch):
     public_tokenizers = pytest.importorskip("public_tokenizers")
-    monkeypatch.setattr(packing, "TASK_PIECES", 9)
+    monkeypatch.setattr(packing, "TASK_TOKENS", 900)
     found = lambda df: Counter(map(tuple, packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json"), (64, 256)).drop("bin_id").collect()))
     assert found(docs.repartition(2)) == found(docs.repartition(5))
 
 
-def test_sequences_hold_the_documents(docs, texts):
+def test_sequences_hold_the_documents(docs, texts, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_TOKENS", 5000)
     public_tokenizers = pytest.importorskip("public_tokenizers")
     tokenizers = pytest.importorskip("tokenizers")
     path = public_tokenizers.path("byte_bpe_50k.json")
