@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindrift.storage import materialise, ship
+from spindrift.storage import discard, materialise, ship
 
 MAX_ROUNDS = 60
 #: Edges that one task settles; bytes of a vertex there.
@@ -112,7 +112,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     if _is_small(edges):
         ship(edges.sparkSession)
-        edges = materialise(edges.coalesce(1).mapInArrow(_settle, edges.schema))
+        settled = materialise(edges.coalesce(1).mapInArrow(_settle, edges.schema))
+        discard(edges)
+        edges = settled
     else:
         edges = _contracted(edges)
     found = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
@@ -129,6 +131,8 @@ def _contracted(edges: DataFrame) -> DataFrame:
             return edges
         hub = max(HUB, -(-2 * now[1] // MOST_HUBS))
         hub = hub if now[0] >= hub else None
-        edges = materialise(_small_star(_large_star(edges, hub), hub).where("u <> v").distinct())
+        contracted = materialise(_small_star(_large_star(edges, hub), hub).where("u <> v").distinct())
+        discard(edges)
+        edges = contracted
         now, before = _state(edges), now
     raise RuntimeError(f"no fixpoint after {MAX_ROUNDS} rounds")

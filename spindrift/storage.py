@@ -43,20 +43,33 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
+def materialise(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing. With `keep`, clean() leaves the table alone."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/spindrift-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not keep:
+        _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._spindrift_path = path
+    return found
+
+
+def _delete(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of materialise() that no plan still to be run reads."""
+    for df in tables:
+        spark, path = df.sparkSession, df._spindrift_path
+        _delete(spark, path)
+        written = _written.get(spark.sparkContext.applicationId, [])
+        if path in written:
+            written.remove(path)
 
 
 def clean(spark: SparkSession) -> int:
     """Deletes the intermediate tables that this application has written, through Spark's own file systems; how many. For when their results have been saved."""
-    conf, paths = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    n = 0
-    for name in _written.pop(spark.sparkContext.applicationId, []):
-        path = paths(name)
-        n += bool(path.getFileSystem(conf).delete(path, True))
-    return n
+    return sum(_delete(spark, name) for name in _written.pop(spark.sparkContext.applicationId, []))
