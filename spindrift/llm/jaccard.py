@@ -38,7 +38,7 @@ from spindrift.operators.components import components
 from . import blocks
 from . import words as W
 from .joins import joined
-from .runtime import materialise, prepare
+from .runtime import discard, materialise, prepare
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -236,9 +236,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = signed.where("some").select("doc_id", "hi", "lo")
     # ids may repeat with other texts, so classes go by a key of their own; signatures of one class are equal
     first = F.min_by(F.struct("doc_id", "bands", "low"), "doc_id").alias("first")
-    classes = materialise(signed.where("some").groupBy("hi", "lo").agg(first, F.count("*").alias("copies")).withColumn("key", F.monotonically_increasing_id()))
-    reps = classes.select(F.col("key").alias("doc_id"), "first.bands", "first.low")
-    classes = classes.select("hi", "lo", F.col("first.doc_id").alias("rep"), "copies", "key")
+    signatures = materialise(signed.where("some").groupBy("hi", "lo").agg(first, F.count("*").alias("copies")).withColumn("key", F.monotonically_increasing_id()))
+    reps = signatures.select(F.col("key").alias("doc_id"), "first.bands", "first.low")
+    classes = signatures.select("hi", "lo", F.col("first.doc_id").alias("rep"), "copies", "key")
     band = reps.select("doc_id", F.explode("bands").alias("band"))
     full = materialise(band.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"))
     met = joined(band, full, ["band"], "c").join(reps.select("doc_id", "low"), "doc_id")
@@ -256,8 +256,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = materialise(components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component"))
     links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
     least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
-    linked = linked.join(least, "component").drop("component")
-    whole = materialise(classes.join(linked, "key", "left").join(links, "key", "left").select("hi", "lo", "rep", "copies", F.coalesce("least", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
+    named = linked.join(least, "component").drop("component")
+    whole = materialise(classes.join(named, "key", "left").join(links, "key", "left").select("hi", "lo", "rep", "copies", F.coalesce("least", "rep").alias("class_id"), F.coalesce("others", F.lit(0)).alias("others")))
+    discard(signatures, full, groups, wanted, found, linked)  # `whole` has what is left to read
     rows = joined(member, whole, ["hi", "lo"], "copies").select("doc_id", F.col("rep").alias("text_class"), "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"))
     alone = signed.where("NOT some").select("doc_id", F.col("doc_id").alias("text_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     null = lambda c: F.nullif(F.col(c), F.lit(LEAST_ID)).alias(c)

@@ -6,9 +6,9 @@ import gc
 
 from pyspark.sql import SparkSession
 
-from spindrift.storage import materialise, shared_dir, ship
+from spindrift.storage import discard, materialise, shared_dir, ship
 
-__all__ = ["materialise", "prepare", "shared_dir"]
+__all__ = ["discard", "materialise", "prepare", "shared_dir"]
 
 #: Bytes in an Arrow batch: long texts must not pile up in one Python worker.
 ARROW_BYTES = "4194304"

@@ -40,7 +40,7 @@ from spindrift.operators.components import components
 
 from . import blocks
 from .joins import joined
-from .runtime import materialise, prepare
+from .runtime import discard, materialise, prepare
 from .words import mix
 
 THRESHOLD = 0.9
@@ -217,13 +217,14 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     cells = signed.select("key", F.posexplode(F.arrays_zip("cells", "places")).alias("table", "x")).select("key", "table", F.col("x.cells").alias("cell"), F.col("x.places").alias("place"))
     full = materialise(cells.groupBy("cell").agg(F.count("*").alias("c")).where("c > 1"))
     met = joined(cells, full, ["cell"], "c").join(reps, "key")
-    found = materialise(blocks.dealt(met, "cell", "key", "c", BLOCK, by="place").mapInArrow(_linked(bits, tables, threshold), "a long, b long, n long"))
-    linked = components(found.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component")
+    met_rows = materialise(blocks.dealt(met, "cell", "key", "c", BLOCK, by="place").mapInArrow(_linked(bits, tables, threshold), "a long, b long, n long"))
+    linked = components(met_rows.where("b IS NOT NULL"), "a", "b").select(F.col("vertex").alias("key"), "component")
     least = linked.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("least"))
     linked = linked.join(least, "component").drop("component")
-    links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
+    links = met_rows.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
     whole = classes.select("key", "h1", "h2", "rep", "copies").join(linked, "key", "left").join(links, "key", "left")
     whole = materialise(whole.select("h1", "h2", "copies", F.coalesce("least", "rep").alias("component_id"), F.coalesce("others", F.lit(0)).alias("others")))
+    discard(classes, signed, full, met_rows)  # `whole` has what is left to read
     found = joined(member, whole, ["h1", "h2"], "copies").select("vec_id", (F.col("others") + F.col("copies") - 1).alias("n_links"), "component_id")
     found = found.union(rows.where("NOT some").select("vec_id", F.lit(0).cast("long"), F.col("vec_id")))
     null = lambda c: F.nullif(F.col(c), F.lit(_LEAST_ID)).alias(c)
