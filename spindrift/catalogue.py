@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from spindrift.plans import demos  # noqa: F401
+    from spindrift.plans import demos, record_queries, source_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -92,8 +92,8 @@ def citations(rows: DataFrame, block: str, order: str, array: str = "citation",
 
 
 #: Fields of one rule. Fixed values.
-UNION_FIELDS = "type version label links webpage download operating_system source_code source edam_topics edam_operations description dependencies tags publication languages".split()
-OR_FIELDS = "https ssl operational bioschemas test inst_instr contribution_policy termsUse".split()
+UNION_FIELDS = ["type", "version", "label", "links", "webpage", "download", "operating_system", "source_code", "source", "edam_topics", "edam_operations", "description", "dependencies", "tags", "publication", "languages"]
+OR_FIELDS = ["https", "ssl", "operational", "bioschemas", "test", "inst_instr", "contribution_policy", "termsUse"]
 
 
 def merge_entries(rows: DataFrame, block: str = "block", order: str = "ord", id_col: str = "entry") -> DataFrame:

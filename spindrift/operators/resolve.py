@@ -6,7 +6,7 @@ depends on an order, the order is the column given for it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.storage import materialise
@@ -84,9 +84,12 @@ def detect_conflicts(entries: DataFrame, links: DataFrame, keep_linkless: bool =
     of = lambda names: F.coalesce(F.arrays_overlap(low, F.array(*(F.lit(n) for n in names))), F.lit(False)) if names else F.lit(False)
     rows = entries.where(~of(skipped)).select("block", "entry", "ord", F.lower(F.trim("name")).alias("name"), of(family).alias("family"))
     linked = links.where("link IS NOT NULL").select("block", "entry", "link").distinct().join(rows.select("block", "entry"), ["block", "entry"], "left_semi")
-    shared = linked.withColumn("c", F.count("*").over(Window.partitionBy("block", "link"))).groupBy("block", "entry").agg(F.max(F.col("c") > 1).alias("shares"))
+    # counts are summed before they are shuffled, so a link that very many entries have is no task of its own
+    several = linked.groupBy("block", "link").agg(F.count("*").alias("c")).where("c > 1").select("block", "link")
+    sharing = linked.join(several, ["block", "link"], "left_semi").select("block", "entry", F.lit(True).alias("s"))
+    shared = linked.select("block", "entry", F.lit(False).alias("s")).union(sharing).groupBy("block", "entry").agg(F.max("s").alias("shares"))
     per_name = rows.where("family").groupBy("block", "name").agg(F.count("*").alias("c"), F.min("ord").alias("first"))
-    commonest = per_name.groupBy("block").agg(F.max_by("name", F.struct("c", -F.col("first"))).alias("common"))
+    commonest = per_name.groupBy("block").agg(F.min_by("name", F.struct(-F.col("c"), F.col("first"))).alias("common"))
     sizes = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("family").alias("all_family"), F.countDistinct("name").alias("names"))
     rows = rows.join(sizes, "block").where("size > 1 AND NOT (all_family AND names = 1)").join(shared, ["block", "entry"], "left").join(commonest, "block", "left")
     stays = F.when(F.col("shares").isNull(), F.lit(keep_linkless) | F.col("family")).otherwise(F.col("shares")) | (F.col("family") & F.coalesce(F.col("name") == F.col("common"), F.lit(False)))
@@ -174,11 +177,13 @@ def secondary_conflicts(records: DataFrame) -> DataFrame:
     return rows.select(F.concat("parent", F.lit("_secondary_1")).alias("block"), "parent", "entry", "ord", role.alias("role"))
 
 
-def resolve(blocks: DataFrame, conflicts: DataFrame, provider, solved: DataFrame | None = None, rounds: int = 10) -> DataFrame:
-    """Records of all blocks: conflicts are judged in rounds until no new ones arise, `rounds` at most.
+def resolve(blocks: DataFrame, conflicts: DataFrame, provider, solved: DataFrame | None = None, rounds: int = 1000) -> DataFrame:
+    """Records of all blocks: conflicts are judged in rounds until no new ones arise.
 
     provider takes pairs (block, pair_no, entry, anchors) and returns them with
-    verdict and confidence. Blocks of `solved` (block) are not judged again.
+    verdict and confidence. Blocks of `solved` (block) are not judged again. Every
+    round settles an entry of each block at least, so rounds end by themselves; a
+    provider that brings more than `rounds` of them about fails, and nothing is lost.
     """
     if solved is not None:
         conflicts = conflicts.join(solved.select("block"), "block", "left_anti")
@@ -189,10 +194,36 @@ def resolve(blocks: DataFrame, conflicts: DataFrame, provider, solved: DataFrame
     for _ in range(rounds):
         conflicts = materialise(secondary_conflicts(records))
         if conflicts.isEmpty():
-            break
+            return out
         records = materialise(resolution_records(conflicts, provider(build_pairs(conflicts))))
         out = out.unionByName(records)
-    return out
+    raise RuntimeError(f"conflicts are left after {rounds} rounds")
+
+
+def conflict_counts(entries: DataFrame, found: DataFrame, merged: DataFrame) -> DataFrame:
+    """(measure, n): blocks, those with a conflict, and their disconnected entries before and after the merge by source and name."""
+    row = lambda name, df, n: df.agg(n.alias("n")).select(F.lit(name).alias("measure"), "n")
+    blocks, out = F.countDistinct("block"), F.count_if(F.col("role") == "disconnected")
+    return row("blocks", entries, blocks).union(row("conflicts", found, blocks)).union(row("disconnected", found, out)).union(row("disconnected_after_merge", merged, out))
+
+
+def human_key_check(human: DataFrame, records: DataFrame, key: str = "block") -> DataFrame:
+    """(key, problem): human decisions about blocks without a record ('missing'), or with one that does not await review ('not pending')."""
+    j = human.select(key).distinct().join(records.select(key, "resolution").distinct(), key, "left")
+    problem = F.when(F.col("resolution").isNull(), F.lit("missing")).when(F.col("resolution") != "manual_review_pending", F.lit("not pending"))
+    return j.select(F.col(key).alias("key"), problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def verdict_counts(verdicts: DataFrame, verdict: Column) -> DataFrame:
+    """(verdict, n, share): how often annotators came to each verdict, cases apart; no verdict is 'none'."""
+    counted = verdicts.groupBy(F.coalesce(F.lower(verdict), F.lit("none")).alias("verdict")).agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.withColumn("share", F.col("n") / F.lit(total))
+
+
+def unique_ids(conflicts: DataFrame) -> DataFrame:
+    """(role, n_entries, n_unique): entries of conflicts and how many different ones there are."""
+    return conflicts.groupBy("role").agg(F.count("*").alias("n_entries"), F.countDistinct("entry").alias("n_unique"))
 
 
 def unresolved(conflicts: DataFrame, records: DataFrame, key: str = "block") -> DataFrame:

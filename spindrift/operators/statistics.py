@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spindrift.functions.licensing import LICENCE_GROUPS, LICENCE_HIERARCHY, licence_class
 from spindrift.functions.meaningful import completeness, is_meaningful
 from spindrift.functions.urls import repository_kind
+from spindrift.storage import materialise
 
 #: Source and the label that it counts for. Fixed values.
 SOURCE_LABELS = {
@@ -33,8 +34,8 @@ SOURCE_LABELS = {
 NOT_COVERED = ("bitbucket", "opeb_metrics")
 
 #: Features of the overview, and of completeness. Fixed values.
-OVERVIEW = "name description version type publication download webpage source_code operating_system input output dependencies test documentation license authors repository topics".split()
-COMPLETE = "name type version label description source_code download license documentation operating_system repository webpage input output dependencies authors publication topics operations test".split()
+OVERVIEW = ["name", "description", "version", "type", "publication", "download", "webpage", "source_code", "operating_system", "input", "output", "dependencies", "test", "documentation", "license", "authors", "repository", "topics"]
+COMPLETE = ["name", "type", "version", "label", "description", "source_code", "download", "license", "documentation", "operating_system", "repository", "webpage", "input", "output", "dependencies", "authors", "publication", "topics", "operations", "test"]
 
 #: Indicators by principle. Fixed values.
 INDICATORS = {"F": ["F1", "F2", "F3"], "A": ["A1", "A3"], "I": ["I1", "I2", "I3"], "R": ["R1", "R2", "R3", "R4"]}
@@ -102,7 +103,9 @@ def feature_counts(tools: DataFrame, features: list[str]) -> DataFrame:
 def value_share(rows: DataFrame, value: Column, nothing: tuple[str, ...] = ("unknown", "None")) -> DataFrame:
     """(value, n, share): how often each value occurs; null and the values that say nothing are left out."""
     counted = rows.select(value.alias("value")).where(F.col("value").isNotNull() & ~F.col("value").isin(*nothing)).groupBy("value").agg(F.count("*").alias("n"))
-    return counted.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    counted = materialise(counted)
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.withColumn("share", F.col("n") / F.lit(total))
 
 
 def licence_verdicts(tools: DataFrame, id_col: str, names_col: str, metrics_only: Column | None = None) -> DataFrame:
@@ -153,12 +156,17 @@ def host_counts(tools: DataFrame, id_col: str, links_col: str, hosts: tuple[str,
     return every.join(counted, "kind", "left").select("kind", F.coalesce("n_links", zero).alias("n_links"), F.coalesce("n_tools", zero).alias("n_tools"))
 
 
-def journal_impact(publications: DataFrame, id_col: str, journal_col: str, citations_col: str, years: list[str] | None = None) -> DataFrame:
-    """(journal, impact, ids): citations of the years by the impact source; citations are array<struct<source, count map<string, bigint>>>. ids has a publication once for each such citation record."""
+def _impacts(publications: DataFrame, id_col: str, journal_col: str, citations_col: str, years: list[str] | None) -> DataFrame:
+    """(id, journal, impact) of each citation record of the impact source."""
     c = publications.where(F.col(journal_col).isNotNull() & (F.col(journal_col) != "")).select(F.col(id_col).alias("id"), F.col(journal_col).alias("journal"), F.explode(citations_col).alias("c"))
     impact = sum((F.coalesce(F.try_element_at(F.col("c.count"), F.lit(y)), F.lit(0)) for y in years or IMPACT_YEARS), F.lit(0).cast("long"))
-    c = c.where((F.col("c.source") == IMPACT_SOURCE) & (F.size("c.count") > 0))
-    return c.groupBy("journal").agg(F.sum(impact).cast("long").alias("impact"), F.array_sort(F.collect_list("id")).alias("ids"))
+    return c.where((F.col("c.source") == IMPACT_SOURCE) & (F.size("c.count") > 0)).select("id", "journal", impact.alias("impact"))
+
+
+def journal_impact(publications: DataFrame, id_col: str, journal_col: str, citations_col: str, years: list[str] | None = None) -> DataFrame:
+    """(journal, impact, n_publications): citations of the years by the impact source; citations are array<struct<source, count map<string, bigint>>>. A publication counts once for each such citation record."""
+    c = _impacts(publications, id_col, journal_col, citations_col, years)
+    return c.groupBy("journal").agg(F.sum("impact").cast("long").alias("impact"), F.count("*").alias("n_publications"))
 
 
 def top_journals(impact: DataFrame, n: int = 10) -> DataFrame:
@@ -166,12 +174,22 @@ def top_journals(impact: DataFrame, n: int = 10) -> DataFrame:
     return impact.orderBy(F.desc("impact"), "journal").limit(n)
 
 
-def journal_tools(top: DataFrame, tools: DataFrame, publications_col: str) -> DataFrame:
-    """top with n_publications and n_tools: how often tools name one of a journal's publications."""
-    ids = top.select("journal", F.explode(F.array_distinct("ids")).alias("id"))
+def journal_tools(publications: DataFrame, id_col: str, journal_col: str, citations_col: str, tools: DataFrame, publications_col: str, n: int = 10, years: list[str] | None = None) -> DataFrame:
+    """(journal, impact, n_publications, n_tools) of the top journals; n_tools is how often tools name one of a journal's publications."""
+    top = materialise(top_journals(journal_impact(publications, id_col, journal_col, citations_col, years), n))
+    ids = _impacts(publications, id_col, journal_col, citations_col, years).select("id", "journal").distinct().join(F.broadcast(top.select("journal")), "journal")
     named = tools.select(F.explode(publications_col).alias("id"))
     counted = named.join(ids, "id").groupBy("journal").agg(F.count("*").alias("n_tools"))
-    return top.join(counted, "journal", "left").select("journal", "impact", F.size("ids").cast("long").alias("n_publications"), F.coalesce("n_tools", F.lit(0).cast("long")).alias("n_tools"))
+    return top.join(counted, "journal", "left").select("journal", "impact", "n_publications", F.coalesce("n_tools", F.lit(0).cast("long")).alias("n_tools"))
+
+
+def journals_by_collection(publications: DataFrame, id_col: str, journal_col: str, citations_col: str, tools: DataFrame, collection_col: str, publications_col: str, n: int = 10, years: list[str] | None = None) -> DataFrame:
+    """(collection, journal, impact, n_publications, place): the top journals of each collection of tools, where a publication counts once for each tool that names it."""
+    c = _impacts(publications, id_col, journal_col, citations_col, years)
+    named = tools.select(F.col(collection_col).alias("collection"), F.explode(publications_col).alias("id"))
+    per = named.join(c, "id").groupBy("collection", "journal").agg(F.sum("impact").cast("long").alias("impact"), F.count("*").alias("n_publications"))
+    place = F.row_number().over(Window.partitionBy("collection").orderBy(F.desc("impact"), "journal"))
+    return per.withColumn("place", place).where(F.col("place") <= n)
 
 
 def indicator_frequency(scores: DataFrame) -> DataFrame:
@@ -199,7 +217,8 @@ def fixed_size_bins(rows: DataFrame, value_col: str, tie_col: str, size: int = 7
     Ranks come from counts of the value's ranges, not from one sorted partition:
     the number of rows before a range partition is added to the rank inside it.
     """
-    parts = rows.select(value_col, tie_col).repartitionByRange(value_col, tie_col).withColumn("part", F.spark_partition_id())
+    # written once: both reads of it see the same ranges, whatever adaptive execution makes of them
+    parts = materialise(rows.select(value_col, tie_col).repartitionByRange(value_col, tie_col).withColumn("part", F.spark_partition_id()))
     inside = F.row_number().over(Window.partitionBy("part").orderBy(value_col, tie_col))
     sizes = parts.groupBy("part").agg(F.count("*").alias("c"))
     before = sizes.select("part", (F.sum("c").over(Window.orderBy("part")) - F.col("c")).alias("before"))
@@ -219,14 +238,13 @@ def source_features(provided: dict[str, list[str]], features: list[str], spark)
 
 
 def computation(result: DataFrame, variable: str, collection: str, version: Column | None = None) -> DataFrame:
-    """(variable, version, data, collection): a result's rows as JSON, for the sink of computations."""
-    rows = result.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*result.columns)))).alias("data"))
+    """(variable, version, collection, data): a result's rows for the sink of computations, each as JSON; a result is all rows of one variable and version."""
     stamp = version if version is not None else F.date_format(F.current_timestamp(), "dd/MM/yyyy HH:mm:ss")
-    return rows.select(F.lit(variable).alias("variable"), stamp.alias("version"), "data", F.lit(collection).alias("collection"))
+    return result.select(F.lit(variable).alias("variable"), stamp.alias("version"), F.lit(collection).alias("collection"), F.to_json(F.struct(*result.columns)).alias("data"))
 
 
 #: Features of a publication, and the citation sources that count as one more each. Fixed values.
-PUBLICATION_FEATURES = "year title abstract journal authors url pmcid pmid doi".split()
+PUBLICATION_FEATURES = ["year", "title", "abstract", "journal", "authors", "url", "pmcid", "pmid", "doi"]
 CITATION_SOURCES = ["Europe PMC", "Semantic Scholar"]
 
 
@@ -242,6 +260,24 @@ def source_completeness(tools: DataFrame, ids_col: str, entries: DataFrame, id_c
     return ids.join(scored, "_id").groupBy("tool").agg(F.avg("_s").alias("score"))
 
 
+def total_completeness(tools: DataFrame, id_col: str, features: list[str] = COMPLETE) -> DataFrame:
+    """(tool, score): completeness of merged tools themselves."""
+    return tools.select(F.col(id_col).alias("tool"), share_complete(tools, features).alias("score"))
+
+
+def enrichment_completeness(records: DataFrame, features: list[str] = PUBLICATION_FEATURES, out_of: int = 11) -> DataFrame:
+    """(source, score) of records (source, citations, total, error and features) that enrichment services gave: the share of meaningful features for the first source, and one feature for every record of the second with a citation."""
+    first, second = CITATION_SOURCES
+    n = completeness(records.schema, [f for f in features if f in records.columns])
+    score = F.when(F.col("source") == first, n / out_of).when((F.col("source") == second) & (F.col("total") > 0), F.lit(1 / out_of))
+    return records.where("error IS NULL").select("source", score.alias("score")).where("score IS NOT NULL")
+
+
+def score_bins(scores: DataFrame, bins: int = 10) -> DataFrame:
+    """(bin, n): scores from 0 to 1 by tenths; 1 belongs to the last."""
+    return scores.groupBy(F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
 def publication_completeness(publications: DataFrame, id_col: str, citations_col: str, features: list[str] = PUBLICATION_FEATURES, out_of: int = 11) -> DataFrame:
     """(id, score): meaningful features and known citation sources of a publication, out of `out_of`."""
     known = F.coalesce(F.size(F.filter(citations_col, lambda c: c["source"].isin(CITATION_SOURCES))), F.lit(0))

@@ -512,7 +512,7 @@ def journal_impact_topk(spark, sf_dir):
     count = F.create_map(F.year("l_shipdate").cast("string"), F.floor("l_quantity"))
     rows = rows.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("s_name").alias("journal"), F.array(F.struct(F.lit(statistics.IMPACT_SOURCE).alias("source"), count.alias("count"))).alias("citations"))
     impact = statistics.journal_impact(rows, "id", "journal", "citations", ["1995", "1996", "1997"])
-    return statistics.top_journals(impact).select("journal", "impact", F.size("ids").cast("long").alias("n_publications"))
+    return statistics.top_journals(impact)
 
 
 def _scores(spark, sf_dir):
@@ -559,11 +559,10 @@ def collection_counts(spark, sf_dir):
 
 @query(
     "description_normalize",
-    "SELECT doc_id, CASE WHEN t = '' THEN NULL ELSE upper(substring(t, 1, 1)) || substring(t, 2) || CASE WHEN ends_with(t, '.') THEN '' ELSE '.' END END AS description FROM (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS t FROM documents WHERE regexp_matches(text, '^ *[A-Za-z]'))",
+    "SELECT doc_id, CASE WHEN t = '' THEN NULL ELSE upper(substring(t, 1, 1)) || substring(t, 2) || CASE WHEN ends_with(t, '.') THEN '' ELSE '.' END END AS description FROM (SELECT doc_id, trim(split_part(text, chr(10), 1), ' ') AS t FROM documents)",
 )
 def description_normalize(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").where(F.col("text").rlike("^ *[A-Za-z]"))
-    return d.select("doc_id", text.normalize_description(F.split_part("text", F.lit("\n"), F.lit(1))).alias("description"))
+    return _t(spark, sf_dir, "documents").select("doc_id", text.normalize_description(F.split_part("text", F.lit("\n"), F.lit(1))).alias("description"))
 
 
 @query(
@@ -579,7 +578,14 @@ def html_main_text(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.html_main_text(F.col("html")).alias("main_text"))
 
 
-@query("token_chunks")
+@query(
+    "token_chunks",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, i, len(x) AS n FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM (SELECT doc_id, regexp_extract_all(text, '[^ \t\n\v\f\r]+') AS w FROM documents))),
+    c AS (SELECT doc_id, i, CAST(0 AS INTEGER) AS chunk, CAST(n AS BIGINT) AS size FROM w WHERE i = 1
+      UNION ALL SELECT w.doc_id, w.i, CASE WHEN c.size + 1 + w.n <= 800 THEN c.chunk ELSE c.chunk + 1 END, CASE WHEN c.size + 1 + w.n <= 800 THEN c.size + 1 + w.n ELSE w.n END FROM c JOIN w ON w.doc_id = c.doc_id AND w.i = c.i + 1)
+    SELECT doc_id, chunk, CAST(max(size) AS INTEGER) AS n_chars FROM c GROUP BY doc_id, chunk""",
+)
 def token_chunks(spark, sf_dir):
     """Chunks of up to 200 tokens of every document."""
     chunks = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.chunk_words(F.col("text"), 200)).alias("chunk", "words"))

@@ -63,9 +63,9 @@ def integrate(entries: DataFrame, provider: Callable[[DataFrame], DataFrame], de
     by_block = members.join(links, "entry").select("block", "entry", "link")
     members = materialise(resolve.recover_blocks(members, by_block.select("block", "link")))
     rows = members.join(entries.select(F.col("id").alias("entry"), "name", "source"), "entry").withColumn("ord", F.col("entry"))
-    conflicts = resolve.detect_conflicts(_ranked(rows), members.join(links, "entry").select("block", "entry", "link"))
+    conflicts = resolve.detect_conflicts(rows, members.join(links, "entry").select("block", "entry", "link"))
     conflicts = materialise(resolve.merge_by_source_name(conflicts.join(rows.select("block", "entry", "source"), ["block", "entry"])))
-    records = materialise(resolve.resolve(_ranked(rows).select("block", "entry", "ord"), conflicts, provider, solved))
+    records = materialise(resolve.resolve(rows.select("block", "entry", "ord"), conflicts, provider, solved))
     if decisions is not None:
         pending = records.where("resolution = 'manual_review_pending'").select("block")
         human = resolve.human_records(decisions.join(pending, "block", "left_semi"), conflicts)
@@ -75,12 +75,6 @@ def integrate(entries: DataFrame, provider: Callable[[DataFrame], DataFrame], de
     return records, merge.merge_entries(parts.withColumnRenamed("tool", "block"), "block", "ord", "entry")
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    """ord as the place of an entry in its block."""
-    g = rows.groupBy("block").agg(F.array_sort(F.collect_list("entry")).alias("_all"))
-    return rows.drop("ord").join(g, "block").withColumn("ord", F.array_position("_all", F.col("entry")).cast("int")).drop("_all")
-
-
 def tool_statistics(tools: DataFrame, tags: list[str] | None = None) -> dict[str, DataFrame]:
     """Results by name over merged tools, by collection where it has one."""
     by = materialise(statistics.collections(tools, "tags", tags or COLLECTIONS))

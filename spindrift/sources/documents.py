@@ -30,19 +30,24 @@ def existing(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return rows.join(table.select(key).distinct(), key, "left_semi")
 
 
+def one_for_each(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row of each key: the last by order, or the greatest of its other columns (maps by their JSON). A null key is a key."""
+    columns = [c for c in rows.columns if c != key]
+    by = F.col(order) if order else F.to_json(F.struct(*(F.col(c) for c in columns)))
+    return rows.groupBy(key).agg(F.max_by(F.struct(*columns), by).alias("_x")).select(key, "_x.*") if columns else rows.distinct()
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """old with the rows of new in place of those with their key. With order, the last row of a key in new counts, else any of equal ones."""
-    columns = [c for c in old.columns if c != key]
-    if order:
-        new = new.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_x")).select(key, "_x.*")
-    new = new.select(*old.columns)
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
-
-
-def update_columns(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """old with the named columns of the rows in new that have its key; no row is added."""
-    hit = new.select(key, F.struct(*columns).alias("_new"))
-    j = old.join(hit, key, "left")
+    """old with the rows of new in place of those with their key; null keys match one another. Of rows of new that share a key, one counts: the last by order, without one the greatest by its columns' JSON."""
+    fresh = one_for_each(new, key, order).select(*old.columns)
+    gone = fresh.select(F.col(key).alias("_key"))
+    return old.join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(fresh)
+
+
+def update_columns(old: DataFrame, new: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
+    """old with the named columns of the row in new that has its key, as upsert() chooses it; no row is added."""
+    hit = one_for_each(new, key, order).select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
+    j = old.join(hit, F.col(key).eqNullSafe(F.col("_key")), "left")
     return j.select(*(F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns))
 
 
@@ -56,8 +61,8 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def looked_up(rows: DataFrame, key: str, table: DataFrame, table_key: str, required: bool = True) -> DataFrame:
-    """rows with the columns of their row in a table; with required, a key that the table lacks fails the job."""
-    hit = table.select(F.col(table_key).alias("_key"), *(c for c in table.columns if c != table_key))
+    """rows with the columns of their row in a table, one of a key's rows as upsert() chooses it; with required, a key that the table lacks, null included, fails the job."""
+    hit = one_for_each(table, table_key).select(F.col(table_key).alias("_key"), *(c for c in table.columns if c != table_key))
     joined = rows.join(hit, F.col(key) == F.col("_key"), "left")
     if required:
         wrong = F.concat(F.lit("no row for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))

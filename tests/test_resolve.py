@@ -143,3 +143,14 @@ def test_analyses(spark):
     records = spark.createDataFrame([("a", "merged", "auto"), ("b", "partial", "manual"), ("c", "no_conflict", "auto"), ("d_secondary_1", "merged", "auto"), ("e", "unclear", "manual"), ("f", "manual_review_pending", "manual")], "block string, resolution string, source string")
     assert tuple(R.funnel(records).first()) == (1, 1, 1, 1, 1)
     assert tuple(R.pair_estimates(spark.createDataFrame([(1,), (4,)], "n int"), "n").first()) == (5, 6)
+
+
+def test_rounds_that_do_not_end_fail(spark):
+    """No record is lost without an error: a block of five needs four rounds."""
+    rows = [("b", str(i), i, "x", ["s"], "disconnected") for i in range(5)]
+    conflicts = spark.createDataFrame(rows, "block string, entry string, ord int, name string, source array<string>, role string")
+    apart = lambda pairs: pairs.withColumns({"verdict": F.lit("different"), "confidence": F.lit("low")})
+    blocks = conflicts.select("block", "entry", "ord")
+    with pytest.raises(RuntimeError):
+        R.resolve(blocks, conflicts, apart, rounds=2)
+    assert R.resolve(blocks, conflicts, apart).count() == 4

@@ -104,7 +104,7 @@ def test_intermediate_tables_go(spark):
     from spindrift import storage
 
     df = storage.materialise(spark.range(5))
-    path = storage._written[-1]
+    path = df._spindrift_path
     assert df.count() == 5 and path.startswith(storage.shared_dir(spark))
     assert storage.clean(spark) >= 1 and storage._written == []
 
@@ -133,3 +133,42 @@ def test_counts_of_more_than_a_hundred_labels(spark, tmp_path):
     spark.createDataFrame([(f"kind{i % 150}",) for i in range(300)], "event_type string").write.parquet(f"{tmp_path}/events.parquet")
     found = {r.label: r.n for r in demos.counts_zero_filled(spark, str(tmp_path)).collect()}
     assert found == {f"kind{i}": 2 for i in range(150)} | {"nothing": 0}
+
+
+def test_repeated_and_null_keys_of_changes(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    new = spark.createDataFrame([(1, "x"), (1, "x"), (1, "w"), (3, "c"), (3, "c"), (None, "m"), (None, "m")], "k int, v string")
+    assert sorted(map(str, map(tuple, D.upsert(old, new, "k").collect()))) == sorted(map(str, [(1, "x"), (2, "b"), (3, "c"), (None, "m")]))
+    assert sorted(map(str, map(tuple, D.update_columns(old, new, "k", ["v"]).collect()))) == sorted(map(str, [(1, "x"), (2, "b"), (None, "m")]))
+    rows = spark.createDataFrame([(1,), (3,), (3,)], "k int")
+    assert sorted(map(tuple, D.looked_up(rows, "k", new.withColumnRenamed("k", "id"), "id").select("k", "v").collect())) == [(1, "x"), (3, "c"), (3, "c")]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from spindrift import storage
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(Session())
+
+
+def test_tables_are_discarded_and_cleaned(spark):
+    from spindrift import storage
+
+    storage.clean(spark)
+    one, two, kept = storage.materialise(spark.range(3)), storage.materialise(spark.range(4)), storage.materialise(spark.range(5), keep=True)
+    storage.discard(one)
+    assert storage.clean(spark) == 1 and kept.count() == 5
+    del two

@@ -59,7 +59,6 @@ def test_descriptions(spark):
 
 def test_formats_and_contributors(spark):
     assert each(spark, text.normalize_format, ["txt", " tabular", "FASTQsanger", "bam", None]) == ["Textual format", "TSV", "FASTQ-sanger", "bam", ""]
-    assert each(spark, text.clean_contributor, ["Dr. Jane Roe [aut]", "R code by X", "contact form", "(Ann)"]) == ["Jane Roe", "by X", "", "Ann"]
     assert each(spark, text.is_organisation, ["University of X", "Jane"]) == [True, False]
     assert each(spark, text.clean_email, ["a@b.org>", "DECEASED", "-", None]) == ["a@b.org", None, None, None]
 
