@@ -82,9 +82,9 @@ def extract(raw: DataFrame, source: str) -> DataFrame:
 
 
 def deduplicate(rows: DataFrame, id_col: str, keys: list[str] = KEYS) -> DataFrame:
-    """(id, publication): rows that share a value of any key, directly or through others, are one publication, named by its least id. This is the closure of looking the keys up one after another."""
+    """(id, publication): rows that share a value of any key, directly or through others, are one publication, named by its least id. This is the closure of looking the keys up one after another. Values are compared by 128-bit hashes, so long ones, as titles may be, are not shuffled."""
     here = F.concat(F.lit("p:"), F.lpad(F.col(id_col).cast("string"), 20, "0"))
-    edges = [rows.select(here.alias("a"), F.concat(F.lit(f"~{k}:"), F.col(k).cast("string")).alias("b")).where(F.col(k).isNotNull() & (F.col(k).cast("string") != "")) for k in keys]
+    edges = [rows.select(here.alias("a"), F.concat(F.lit(f"~{k}:"), F.md5(F.col(k).cast("string"))).alias("b")).where(F.col(k).isNotNull() & (F.col(k).cast("string") != "")) for k in keys]
     both = edges[0]
     for e in edges[1:]:
         both = both.union(e)
