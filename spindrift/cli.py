@@ -1,4 +1,4 @@
-"""Command lines: python -m spindrift.cli transform|integrate|statistics|keyed-lines ..."""
+"""Command lines: python -m spindrift.cli transform|integrate|merge|statistics|keyed-lines ..."""
 
 from __future__ import annotations
 
@@ -22,7 +22,12 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--entries", required=True)
     i.add_argument("--verdicts", required=True, help="table (block, entry, verdict, confidence)")
     i.add_argument("--decisions", help="table (block, decision, confidence)")
+    i.add_argument("--records", help="records of an earlier run, whose blocks are not judged again")
     i.add_argument("--out", required=True)
+    m = sub.add_parser("merge", help="entries and records to merged tools, as after a change of records")
+    m.add_argument("--entries", required=True)
+    m.add_argument("--records", required=True)
+    m.add_argument("--out", required=True)
     s = sub.add_parser("statistics", help="merged tools to results")
     s.add_argument("--tools", required=True)
     s.add_argument("--out", required=True)
@@ -50,9 +55,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         for name, df in zip(("entries", "publications", "rejected"), integration.transform(read(a.raw), a.sources), strict=True):
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")
     elif a.command == "integrate":
-        records, tools = integration.integrate(read(a.entries), verdicts_from(read(a.verdicts)), read(a.decisions) if a.decisions else None)
+        records, tools = integration.integrate(read(a.entries), verdicts_from(read(a.verdicts)), read(a.decisions) if a.decisions else None, stored=read(a.records) if a.records else None)
         records.write.mode("overwrite").parquet(f"{a.out}/records")
         tools.write.mode("overwrite").parquet(f"{a.out}/tools")
+    elif a.command == "merge":
+        integration.merged(read(a.entries), read(a.records)).write.mode("overwrite").parquet(f"{a.out}/tools")
     elif a.command == "statistics":
         for name, df in integration.tool_statistics(read(a.tools)).items():
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")

@@ -49,12 +49,17 @@ def entry_links(entries: DataFrame) -> DataFrame:
     return entries.select(F.col("id").alias("entry"), F.explode(F.array_distinct(F.transform(both, normalize_url))).alias("link")).where("link IS NOT NULL")
 
 
-def integrate(entries: DataFrame, provider: Callable[[DataFrame], DataFrame], decisions: DataFrame | None = None, solved: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def integrate(entries: DataFrame, provider: Callable[[DataFrame], DataFrame], decisions: DataFrame | None = None, solved: DataFrame | None = None, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(records, tools): entries grouped by name and type or by code-host links, blocks recovered, conflicts judged, and merged.
 
     provider gives verdicts for pairs; decisions (block, decision, confidence)
-    override what awaits review; solved (block) is not judged again.
+    override what awaits review; solved (block) is not judged again. stored holds
+    records of an earlier run: their blocks are not judged again either, and the
+    records returned and merged are theirs and the new ones.
     """
+    if stored is not None:
+        known = stored.select("block")
+        solved = known if solved is None else known.union(solved.select("block"))
     entries = entries.withColumn("ord", F.col("id"))
     links = materialise(entry_links(entries))
     hosts = links.where(is_code_host(F.col("link")))
@@ -66,13 +71,20 @@ def integrate(entries: DataFrame, provider: Callable[[DataFrame], DataFrame], de
     conflicts = resolve.detect_conflicts(rows, members.join(links, "entry").select("block", "entry", "link"))
     conflicts = materialise(resolve.merge_by_source_name(conflicts.join(rows.select("block", "entry", "source"), ["block", "entry"])))
     records = materialise(resolve.resolve(rows.select("block", "entry", "ord"), conflicts, provider, solved))
+    if stored is not None:
+        records = materialise(stored.select(*records.columns).unionByName(records))
     if decisions is not None:
         pending = records.where("resolution = 'manual_review_pending'").select("block")
         human = resolve.human_records(decisions.join(pending, "block", "left_semi"), conflicts)
         human = human.withColumns({"confidence": F.create_map(F.lit("human"), F.col("confidence").cast("string")), "notes": resolve.caution(F.col("merged"))})
         records = materialise(records.join(human.select("block"), "block", "left_anti").unionByName(human.select(*records.columns)))
+    return records, merged(entries, records)
+
+
+def merged(entries: DataFrame, records: DataFrame) -> DataFrame:
+    """The tools that records make of entries."""
     parts = merge.tools_of(records).join(entries.drop("ord").withColumnRenamed("id", "entry"), "entry")
-    return records, merge.merge_entries(parts.withColumnRenamed("tool", "block"), "block", "ord", "entry")
+    return merge.merge_entries(parts.withColumnRenamed("tool", "block"), "block", "ord", "entry")
 
 
 def tool_statistics(tools: DataFrame, tags: list[str] | None = None) -> dict[str, DataFrame]:

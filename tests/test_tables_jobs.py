@@ -84,6 +84,14 @@ def test_integrate_command(spark, tmp_path):
     spark.createDataFrame([], "block string, entry string, verdict string, confidence string").write.parquet(str(tmp_path / "verdicts"))
     cli.main(["integrate", "--entries", str(tmp_path / "entries"), "--verdicts", str(tmp_path / "verdicts"), "--out", str(tmp_path / "o")], spark)
     assert spark.read.parquet(str(tmp_path / "o/tools")).count() == 4
+    # a second run judges nothing again: its verdicts would say otherwise, and the stored records stay
+    spark.read.parquet(str(tmp_path / "verdicts")).withColumn("verdict", F.lit("disagreement")).write.parquet(str(tmp_path / "other"))
+    cli.main(["integrate", "--entries", str(tmp_path / "entries"), "--verdicts", str(tmp_path / "other"), "--records", str(tmp_path / "o/records"), "--out", str(tmp_path / "again")], spark)
+    said = lambda at: sorted((r.block, r.resolution, r.merged, r.unmerged) for r in spark.read.parquet(str(tmp_path / at / "records")).collect())
+    assert said("again") == said("o") != []
+    cli.main(["merge", "--entries", str(tmp_path / "entries"), "--records", str(tmp_path / "o/records"), "--out", str(tmp_path / "m")], spark)
+    tools = lambda at: sorted((r.block, r.entries) for r in spark.read.parquet(str(tmp_path / at / "tools")).collect())
+    assert tools("m") == tools("o") != []
 
 
 def test_streams(spark, tmp_path):
