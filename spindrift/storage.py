@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = Path(__file__).resolve().parent
 #: Tables that clean() deletes, by application.
 _written: dict[str, list[str]] = {}
+#: Spark's setting that a query's shuffle files go as it ends, not when the driver's collector comes across them.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,10 +46,15 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def materialise(df: DataFrame, keep: bool = False) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing. With `keep`, clean() leaves the table alone."""
+    """Write df to the shared folder and read it back: lineage is cut, a lost executor loses nothing, and what the plan shuffled goes at once. With `keep`, clean() leaves the table alone."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/spindrift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREES_SHUFFLES, "false")
+    spark.conf.set(FREES_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREES_SHUFFLES, before)
     if not keep:
         _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     found = spark.read.schema(df.schema).parquet(path)
