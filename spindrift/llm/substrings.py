@@ -344,8 +344,10 @@ def _found(docs: DataFrame, with_text: bool) -> DataFrame:
     rows = packed.select("doc_id", "packed", F.col("own.start").alias("own_start"), F.col("own.n").alias("own_n"))
     shared = frequent_anchors(rows)
     met = rows.mapInArrow(_anchor_rows(shared), _ANCHOR_ROWS).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    repeats = met.mapInArrow(_repeats, _FACTORS).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
-    found = packed.join(repeats, "doc_id", "left")
+    # written, so that the windows, by far the largest shuffle, are gone before the texts are shuffled
+    repeats = materialise(met.mapInArrow(_repeats, _FACTORS))
+    others = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("others"))
+    found = packed.join(others, "doc_id", "left")
     return found.mapInArrow(_cut(with_text), _CUT.format(extra=extra))
 
 
