@@ -22,9 +22,11 @@ empty table gives no bins. A text has any length; its pieces spread over the tas
 from __future__ import annotations
 
 from bisect import insort
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ CAPACITIES = (512, 1024, 2048, 4096)
 BIN_COST, SQUARED = 32, 16_384
 #: Tokens that a packing task gets, about.
 TASK_TOKENS = 1 << 23
+#: Bytes of text that are encoded at once: half of what other operators take, as ids are made of them besides.
+ENCODED_BYTES = W.CHUNK_BYTES // 2
 
 
 class _Longest:
@@ -120,7 +124,7 @@ def _pieces(path: str, largest: int, with_ids: bool):
 
     def pieces(batches):
         by = tokens_by(path)
-        for rows, data, offsets in W.chunks(batches, keeps=True):
+        for rows, data, offsets in W.chunks(batches, limit=ENCODED_BYTES, keeps=True):
             ids, n = by.encode(data, offsets)
             parts = -(-(n + 1) // largest)
             piece = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -139,6 +143,9 @@ def _pieces(path: str, largest: int, with_ids: bool):
     return pieces
 
 
+#: Bins that a packing task gives out at once.
+BINS = 256
+_BORDERS = ["doc_id", "piece", "start", "place", "n_tokens"]
 _BINS = "bin_id string, capacity long, n_tokens long, ids array<int>, pieces array<struct<doc_id: long, piece: int, start: long, place: long, n_tokens: long>>"
 
 
@@ -149,26 +156,36 @@ def _order(bins: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _task(capacities: tuple[int, ...], bin_cost: int, whole: bool):
-    """Packs one task's pieces: a row for each piece, or with `whole` for each bin."""
-
-    def task(key, table):
-        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("key", "ascending"), ("piece", "ascending")])
-        sizes = table.column("n_tokens").to_numpy()
+    """Packs one task's pieces: a row for each piece, or with `whole` for each bin. Only the small columns are sorted; token ids are copied once, as their bins are given out."""
+
+    def task(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.forget()
+        table = pa.Table.from_batches(list(batches))
+        small = table.select(["doc_id", "key", "piece", "start", "n_tokens"])
+        by = pc.sort_indices(small, [("n_tokens", "descending"), ("doc_id", "ascending"), ("key", "ascending"), ("piece", "ascending")])
+        small = small.take(by).combine_chunks()
+        sizes = small.column("n_tokens").to_numpy()
         bins, places, capacity = pack(sizes, capacities, bin_cost)
         held = np.bincount(bins, sizes, len(capacity)).astype(np.int64)
         name = lambda b: f"{key[0].as_py()}-{b}"
-        if not whole:
-            table = table.select(["doc_id", "piece", "start", "n_tokens"])
-            for c, column in (("bin_id", pa.array([name(b) for b in bins.tolist()])), ("place", pa.array(places)), ("bin_tokens", pa.array(held[bins])), ("capacity", pa.array(capacity[bins]))):
-                table = table.append_column(c, column)
-            return table
         order, first = _order(bins, places)
-        table = table.append_column("place", pa.array(places)).take(pa.array(order)).combine_chunks()
-        column = lambda c: table.column(c).chunk(0)
-        borders = pa.StructArray.from_arrays([column(c) for c in ("doc_id", "piece", "start", "place", "n_tokens")], ["doc_id", "piece", "start", "place", "n_tokens"])
-        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32)), column("ids").flatten())
-        pieces = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), borders)
-        return pa.table([pa.array([name(b) for b in range(len(held))]), pa.array(capacity), pa.array(held), ids, pieces], ["bin_id", "capacity", "n_tokens", "ids", "pieces"])
+        small = small.append_column("place", pa.array(places)).append_column("from", by).take(pa.array(order)).combine_chunks()
+        column = lambda c, rows: small.column(c).chunk(0)[rows]
+        for lo in range(0, len(held), BINS):
+            of = np.arange(lo, min(lo + BINS, len(held)))
+            rows = slice(int(first[lo]), int(first[of[-1] + 1]))
+            if whole:
+                borders = pa.StructArray.from_arrays([column(c, rows) for c in _BORDERS], _BORDERS)
+                ids = table.column("ids").take(column("from", rows)).combine_chunks()
+                ends = np.concatenate([[0], np.cumsum(held[of])]).astype(np.int32)
+                out = [pa.array([name(b) for b in of.tolist()]), pa.array(capacity[of]), pa.array(held[of]), pa.ListArray.from_arrays(pa.array(ends), ids.flatten())]
+                yield pa.RecordBatch.from_arrays([*out, pa.ListArray.from_arrays(pa.array((first[lo : of[-1] + 2] - first[lo]).astype(np.int32)), borders)], ["bin_id", "capacity", "n_tokens", "ids", "pieces"])
+            else:
+                b = bins[order[rows]]
+                out = [*(column(c, rows) for c in ("doc_id", "piece", "start", "n_tokens")), pa.array([name(x) for x in b.tolist()]), column("place", rows), pa.array(held[b]), pa.array(capacity[b])]
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "n_tokens", "bin_id", "place", "bin_tokens", "capacity"])
+        del table, small
+        W.free()
 
     return task
 

@@ -177,6 +177,12 @@ def keep(name: str, make: Callable[[], object]):
     return _kept[name]
 
 
+def forget() -> None:
+    """Drops the worker's large table: for tasks that have no use for one."""
+    _kept.clear()
+    free()
+
+
 def free() -> None:
     """Hands memory that is no longer used back to the system: workers outlive their tasks and share an executor's memory with the JVM."""
     pa.default_memory_pool().release_unused()
