@@ -116,6 +116,8 @@ def _first_with(rooms: list[tuple[int, int]], n: int) -> int:
 
 #: Id of the end token.
 END_ID = 2
+#: An id as it travels to its packing task, as wavelet.Tokens gives it.
+_ID = np.dtype("<u2")
 _PLACED = "doc_id long, piece int, start long, n_tokens long, bin_id string, place long, bin_tokens long, capacity long"
 
 
@@ -134,9 +136,9 @@ def _pieces(path: str, largest: int, with_ids: bool):
             out += [pa.array(piece.astype(np.int32)), pa.array(piece * largest), pa.array(size)]
             names = ["doc_id", "key", "piece", "start", "n_tokens"]
             if with_ids:
-                whole = np.full(int((n + 1).sum()), END_ID, np.int32)
+                whole = np.full(int((n + 1).sum()), END_ID, _ID)
                 whole[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
-                out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(whole)))
+                out.append(W.binary_column(whole, np.concatenate([[0], np.cumsum(size)]) * _ID.itemsize))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names)
 
@@ -176,9 +178,9 @@ def _task(capacities: tuple[int, ...], bin_cost: int, whole: bool):
             rows = slice(int(first[lo]), int(first[of[-1] + 1]))
             if whole:
                 borders = pa.StructArray.from_arrays([column(c, rows) for c in _BORDERS], _BORDERS)
-                ids = table.column("ids").take(column("from", rows)).combine_chunks()
+                ids = np.frombuffer(b"".join(table.column("ids").take(column("from", rows)).to_pylist()), _ID).astype(np.int32)
                 ends = np.concatenate([[0], np.cumsum(held[of])]).astype(np.int32)
-                out = [pa.array([name(b) for b in of.tolist()]), pa.array(capacity[of]), pa.array(held[of]), pa.ListArray.from_arrays(pa.array(ends), ids.flatten())]
+                out = [pa.array([name(b) for b in of.tolist()]), pa.array(capacity[of]), pa.array(held[of]), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
                 yield pa.RecordBatch.from_arrays([*out, pa.ListArray.from_arrays(pa.array((first[lo : of[-1] + 2] - first[lo]).astype(np.int32)), borders)], ["bin_id", "capacity", "n_tokens", "ids", "pieces"])
             else:
                 b = bins[order[rows]]
@@ -191,7 +193,7 @@ def _task(capacities: tuple[int, ...], bin_cost: int, whole: bool):
 
 
 def pack_pieces(pieces: DataFrame, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, whole: bool = False) -> DataFrame:
-    """Bins of pieces (doc_id, key, piece, start, n_tokens and, with `whole`, ids), packed by tasks of about TASK_TOKENS tokens."""
+    """Bins of pieces (doc_id, key, piece, start, n_tokens and, with `whole`, ids as little-endian 16-bit integers), packed by tasks of about TASK_TOKENS tokens."""
     pieces = materialise(pieces)
     total = pieces.agg(F.sum("n_tokens")).first()[0] or 0
     tasks = max(1, -(-total // TASK_TOKENS))
@@ -213,5 +215,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...]
 
 def pack_sequences(docs: DataFrame, tokenizer: str, capacities: tuple[int, ...] = CAPACITIES, bin_cost: int = BIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """bin_id, capacity, n_tokens, ids (the sequence) and pieces (doc_id, piece, start, place, n_tokens) of every bin, in the order of places; a bin's row holds the largest capacity at most."""
-    pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), True), "doc_id long, key long, piece int, start long, n_tokens long, ids array<int>")
+    pieces = _rows(docs, id_col, text_col).mapInArrow(_pieces(tokenizer, max(capacities), True), "doc_id long, key long, piece int, start long, n_tokens long, ids binary")
     return pack_pieces(pieces, capacities, bin_cost, whole=True)
